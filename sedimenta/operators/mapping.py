@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from difflib import SequenceMatcher
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.names import norm_name, norm_text
 from sedimenta.operators.ranking import with_ordinal
-from sedimenta.session import materialize
+from sedimenta.session import materialize, materialize_counting
 
 # Similarity cutoff, candidates kept per name, prefix of generated names,
 # column titles and separator of the CSV export.
@@ -122,8 +123,11 @@ def similar_pairs(df: DataFrame, key: str, cutoff: float = CUTOFF) -> DataFrame:
     since it can depend on that order, each pair is tested both ways.
     """
     names = df.select(F.col(key).alias("name")).where(F.col(key).isNotNull()).distinct()
-    pairs = candidate_pairs(materialize(names, "names"), cutoff)
-    return pairs.mapInPandas(_matches(cutoff), "head string, candidate string, ratio double")
+    return _pairs_of(materialize(names, "names"), cutoff)
+
+
+def _pairs_of(names: DataFrame, cutoff: float) -> DataFrame:
+    return candidate_pairs(names, cutoff).mapInPandas(_matches(cutoff), "head string, candidate string, ratio double")
 
 
 def top_similar(pairs: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -166,27 +170,23 @@ def _covered(edges: DataFrame) -> DataFrame:
     """
     taken = []
     open_edges = edges.select("head", "candidate")
-    while not open_edges.isEmpty():
-        heads = open_edges.select("head").distinct().join(
-            open_edges.select(F.col("candidate").alias("head")).distinct(), "head", "left_anti"
-        )
-        covered = materialize(
-            open_edges.join(heads, "head", "left_semi").select(F.col("candidate").alias("norm")).distinct(),
-            "covered",
-        )
-        taken.append(covered)
-        open_edges = materialize(
-            open_edges.join(heads, "head", "left_anti")
-            .join(covered.select(F.col("norm").alias("head")), "head", "left_anti")
-            .join(covered.select(F.col("norm").alias("candidate")), "candidate", "left_anti"),
-            "open",
+    left = 1 if edges.head(1) else 0
+    while left:
+        late = open_edges.select(F.col("candidate").alias("head")).distinct().withColumn("late", F.lit(True))
+        marked = open_edges.join(late, "head", "left").withColumn("late", F.coalesce("late", F.lit(False)))
+        covered = marked.where(~F.col("late")).select("candidate").distinct()
+        step = (
+            marked.join(covered.select("candidate", F.lit(True).alias("gone")), "candidate", "left")
+            .join(covered.select(F.col("candidate").alias("head"), F.lit(True).alias("head_gone")), "head", "left")
+            .withColumn("open", F.col("late") & F.col("gone").isNull() & F.col("head_gone").isNull())
+            .select("head", "candidate", "late", "open")
         )
+        step, left = materialize_counting(step, F.count_if("open"), "round")
+        taken.append(step.where(~F.col("late")).select(F.col("candidate").alias("norm")))
+        open_edges = step.where("open").select("head", "candidate")
     if not taken:
         return edges.select(F.col("candidate").alias("norm")).limit(0)
-    result = taken[0]
-    for covered in taken[1:]:
-        result = result.unionByName(covered)
-    return result
+    return reduce(DataFrame.unionByName, taken).distinct()
 
 
 def _split_clashes(members: DataFrame, cooccur: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def group_columns(
     apart = F.col("norm").isin(sorted({norm_text(e) for e in exclusive}))
     free = vocabulary.where(~apart).select("norm").distinct()
     if pairs is None:
-        pairs = similar_pairs(free, "norm", cutoff)
+        pairs = _pairs_of(free.withColumnRenamed("norm", "name"), cutoff)
     if top_n is not None:
         kept = top_similar(pairs, top_n).select("head", "candidate")
         either = kept.unionByName(kept.select(F.col("candidate").alias("head"), F.col("head").alias("candidate")))

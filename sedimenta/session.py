@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -39,3 +39,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_counting(df: DataFrame, count: Column, label: str = "stage") -> tuple[DataFrame, int]:
+    """``materialize`` plus an aggregate over the written rows, observed during the same job."""
+    seen = Observation()
+    return materialize(df.observe(seen, count.alias("count")), label), seen.get["count"]
