@@ -153,9 +153,9 @@ def similar(names: str) -> str:
     in the head; the ranges left and right of the run are the next blocks.
     """
     run = """
-      list_min(flatten(list_transform(range(v.alo, v.ahi), i -> list_transform(range(v.blo, v.bhi), j -> {
+      list_min(flatten(list_transform(range(v.alo, v.ahi), lambda i: list_transform(range(v.blo, v.bhi), lambda j: {
         'k': -coalesce(list_max(list_filter(range(1, least(v.ahi - i, v.bhi - j) + 1),
-                 k -> substr(a, i + 1, k) = substr(b, j + 1, k))), 0), 'i': i, 'j': j}))))
+                 lambda k: substr(a, i + 1, k) = substr(b, j + 1, k))), 0), 'i': i, 'j': j}))))
     """
     return f"""
 names AS (SELECT DISTINCT norm FROM ({names}) WHERE norm <> ''),

@@ -114,7 +114,7 @@ def suite_metrics(suite: Sequence[Expectation], schema: StructType) -> list[Colu
 def _passed(e: Expectation, evaluated: Any, violations: Any) -> Any:
     if e.mostly >= 1.0:
         return violations == 0
-    return violations <= evaluated * (1.0 - e.mostly)
+    return evaluated - violations >= evaluated * e.mostly - 1e-9
 
 
 def quality_report(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:

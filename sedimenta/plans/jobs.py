@@ -86,7 +86,9 @@ def mapping_from_catalog(good: DataFrame, policy: MappingPolicy) -> DataFrame:
         top_n=policy.top_n,
     )
     named = m.name_groups(groups, policy.manual, policy.prefix)
-    return m.require_columns(m.split_exclusive(named, policy.split), policy.required)
+    # used several times below
+    split = materialize(m.split_exclusive(named, policy.split), "split")
+    return m.require_columns(split, policy.required)
 
 
 def build_mapping(

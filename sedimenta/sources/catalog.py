@@ -39,7 +39,8 @@ def file_catalog(spark: SparkSession, roots: str | Iterable[str], glob: str = "*
     """Files directly below each root whose name matches ``glob``: ``path, length, modified``.
 
     A directory whose name matches (a dataset written by Spark) counts through its part files;
-    other subdirectories are not entered. File contents are never read.
+    other subdirectories are not entered. File contents are never read. Spark leaves files of length
+    zero out of every scan, here as well; they hold no rows.
     """
     roots = [roots] if isinstance(roots, str) else list(roots)
     frames = []
