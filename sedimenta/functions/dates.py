@@ -12,9 +12,13 @@ FALLBACK_DATE = "1900-01-01"
 
 
 def base_name(path: Column) -> Column:
-    """Name of the file, or of the ``*.parquet`` directory that holds its parts."""
-    entry = F.regexp_extract(path, r"([^/]+\.parquet)(?:/|$)", 1)
-    return F.when(entry != "", entry).otherwise(F.regexp_extract(path, r"([^/]*)/*$", 1))
+    """Name of the file, or of the ``*.parquet`` directory that directly holds it (less the suffix).
+
+    These functions run for every row, so they search for fixed text and use one pattern match at
+    most.
+    """
+    last_two = F.substring_index(path, "/", -2)
+    return F.substring_index(F.substring_index(last_two, ".parquet/", 1), "/", -1)
 
 
 def first_of_month(text: Column, pattern: str) -> Column:
@@ -22,10 +26,10 @@ def first_of_month(text: Column, pattern: str) -> Column:
 
     Only the first match counts; a match that is no calendar month gives null.
     """
-    year = F.regexp_extract(text, pattern, 1)
-    month = F.regexp_extract(text, pattern, 2)
-    valid = (year != "") & (year != "0000") & month.between("01", "12")
-    return F.when(valid, F.to_date(F.concat_ws("-", year, month, F.lit("01")), "yyyy-MM-dd"))
+    found = F.translate(F.regexp_extract(text, pattern, 0), "_", "-")
+    # year 0 is no year, though the cast would take it
+    valid = F.replace(found, F.lit("0000"), F.lit("none"))
+    return F.concat(valid, F.lit("-01")).try_cast("date")
 
 
 def date_ref(path: Column | str) -> Column:
@@ -38,4 +42,4 @@ def date_ref(path: Column | str) -> Column:
 def period(href: Column | str) -> Column:
     """``YYYY-MM`` of the first dated part of an href, null when there is no valid one."""
     column = F.col(href) if isinstance(href, str) else href
-    return F.date_format(first_of_month(column, HREF_DATE), "yyyy-MM")
+    return first_of_month(column, HREF_DATE).cast("string").substr(1, 7)

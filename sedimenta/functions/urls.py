@@ -110,8 +110,12 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     )
     folded = F.when(merged.rlike(r"(?:^|/)\.\.?(?:/|$)"), _fold_dots(merged)).otherwise(merged)
     rooted = F.when(folded.startswith("/"), folded).otherwise(F.concat(F.lit("/"), folded))
+    # the common case needs no taking apart: a plain path from the site's root
+    plain = href.startswith("/") & ~href.rlike(r"^//|[?#]|/\.")
+    site = F.regexp_extract(base, "^[a-z][a-z0-9+.-]*://[^/?#]*", 0)
     return (
-        F.when(href == "", base)
+        F.when(plain & (site != ""), F.concat(site, href))
+        .when(href == "", base)
         .when((scheme != "") & (F.lower(scheme) != F.lower(b_scheme)), href)
         .when(host != "", F.concat(root, host, path, tail(query)))
         .when(
