@@ -39,7 +39,8 @@ def with_year_month(df: DataFrame, ts_col: str) -> DataFrame:
     ts = F.col(ts_col)
     if isinstance(df.schema[ts_col].dataType, StringType):
         return df.withColumns({"year": ts.substr(1, 4), "month": ts.substr(6, 2)})
-    return df.withColumns({"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM")})
+    year, month = F.year(ts).cast("string"), F.month(ts).cast("string")
+    return df.withColumns({"year": F.lpad(year, 4, "0"), "month": F.lpad(month, 2, "0")})
 
 
 def cast_columns(df: DataFrame, specs: Sequence[CastSpec]) -> DataFrame:

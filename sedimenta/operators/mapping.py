@@ -10,7 +10,7 @@ from difflib import SequenceMatcher
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.names import norm_name, norm_text
@@ -50,19 +50,23 @@ def candidate_pairs(names: DataFrame, cutoff: float) -> DataFrame:
     ``d`` follows from the two lengths. Cut the shorter name into ``d + 1`` segments: one of them,
     the i-th, survives whole with exactly ``i`` unmatched characters before it, so it occurs in the
     longer name shifted by at most ``i`` places. That is an equi-join on (lengths, i, segment).
-    Letters present in only one name are unmatched too, which is tested inside the join.
+    Letters that occur, or occur twice, in only one name are unmatched too, which is tested inside the
+    join.
     """
     if not 0 < cutoff <= 1:
         raise ValueError("cutoff must lie in (0, 1]")
-    letters = F.aggregate(
-        F.split("name", ""),
-        F.lit(0).cast("long"),
-        lambda bits, c: bits.bitwiseOR(
-            F.when(c == "", F.lit(0).cast("long")).otherwise(
-                F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)
-            )
-        ),
-    )
+    none = F.lit(0).cast("long")
+
+    def add(seen: Column, c: Column) -> Column:
+        bit = F.when(c == "", none).otherwise(
+            F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)
+        )
+        return F.struct(
+            seen["once"].bitwiseOR(bit).alias("once"),
+            seen["twice"].bitwiseOR(seen["once"].bitwiseAND(bit)).alias("twice"),
+        )
+
+    letters = F.aggregate(F.split("name", ""), F.struct(none.alias("once"), none.alias("twice")), add)
     named = names.select(F.col("name"), F.length("name").alias("n"), letters.alias("bits")).where("n > 0")
     reach = (2 - cutoff) / cutoff
 
@@ -107,10 +111,14 @@ def candidate_pairs(names: DataFrame, cutoff: float) -> DataFrame:
             F.col("name").alias("long_name"), F.col("bits").alias("long_bits"),
         )
     )
+    # Spark sizes the sides from before the explodes, far too small for a broadcast; a merge join
+    # also lets adaptive execution split a segment that many names share
     return (
-        index.join(probe, ["short", "long", "i", "segment"])
+        index.join(probe.hint("merge"), ["short", "long", "i", "segment"])
         .where("short < long or short_name < long_name")
-        .where("bit_count(short_bits ^ long_bits) <= d")
+        .where(
+            "bit_count(short_bits.once ^ long_bits.once) + bit_count(short_bits.twice ^ long_bits.twice) <= d"
+        )
         .select(F.least("short_name", "long_name").alias("a"), F.greatest("short_name", "long_name").alias("b"))
         .distinct()
     )

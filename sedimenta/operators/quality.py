@@ -234,7 +234,8 @@ def _exact_quantiles(counts: DataFrame, quantiles: Sequence[float]) -> DataFrame
     numbers = counts.where(F.col("num").isNotNull()).groupBy("column", "num").agg(F.sum("weight").alias("weight"))
     ranked = materialize(with_running_total(numbers, ["column", "num"], F.col("weight"), "before"), "ranked")
     spans = ranked.groupBy("column").agg(F.min("before").alias("start"), F.sum("weight").alias("n"))
-    placed = ranked.join(spans, "column").withColumn("first", F.col("before") - F.col("start"))
+    # spans hold one row per column
+    placed = ranked.join(F.broadcast(spans), "column").withColumn("first", F.col("before") - F.col("start"))
     last = F.col("first") + F.col("weight") - 1
 
     def at(rank: Column) -> Column:

@@ -30,7 +30,7 @@ def with_running_total(df: DataFrame, order: Sequence[str], weight: Column, out:
     )
     return (
         parts.withColumn("_inside", F.coalesce(F.sum("_weight").over(within), F.lit(0)))
-        .join(offsets, "_range")
+        .join(F.broadcast(offsets), "_range")  # one row per range
         .withColumn(out, F.col("_offset") + F.col("_inside"))
         .drop("_range", "_weight", "_offset", "_inside")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -19,9 +20,12 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="sedimenta-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="sedimenta-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -158,21 +158,16 @@ def _literal_path(path: str) -> str:
 def scan_groups(spark: SparkSession, good: DataFrame) -> list[SchemaGroup]:
     """One scan per distinct schema, so the plan grows with the schemas and not with the files.
 
-    Column types can differ between files, which a single scan cannot read. The file paths pass
-    through the driver, as they do for every file listing that Spark plans.
+    Column types can differ between files, which a single scan cannot read. The paths reach the
+    driver, one string per file, because Spark's own file listing is kept there too.
     """
-    files = good.groupBy("fingerprint", "path").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda c: c["name"]).alias("names")
-    )
-    groups = (
-        files.groupBy("fingerprint")
-        .agg(F.min("names").alias("names"), F.array_sort(F.collect_list("path")).alias("paths"))
-        .orderBy("fingerprint")
-        .collect()
-    )
-    return [
-        SchemaGroup(
-            g.fingerprint, tuple(g.names), spark.read.parquet(*[_literal_path(p) for p in g.paths])
-        )
-        for g in groups
-    ]
+    names: dict[str, tuple[str, ...]] = {}
+    paths: dict[str, list[str]] = {}
+    first = good.groupBy("fingerprint").agg(F.min("path").alias("path"))
+    for row in (
+        good.join(first, ["fingerprint", "path"], "left_semi").select("fingerprint", "pos", "name").orderBy("fingerprint", "pos").collect()
+    ):
+        names[row.fingerprint] = (*names.get(row.fingerprint, ()), row.name)
+    for row in good.select("fingerprint", "path").where("pos = 0").toLocalIterator():
+        paths.setdefault(row.fingerprint, []).append(_literal_path(row.path))
+    return [SchemaGroup(f, columns, spark.read.parquet(*sorted(paths[f]))) for f, columns in names.items()]
