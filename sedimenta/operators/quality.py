@@ -210,16 +210,22 @@ def _base_rows(df: DataFrame, extra: dict[str, dict[str, Column]]) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def value_counts(df: DataFrame) -> DataFrame:
+LONG_TEXT = 64
+
+
+def value_counts(df: DataFrame, digests: bool = False) -> DataFrame:
     """``column, txt, num, weight``: each distinct non-null value of each column and its count.
 
     Equal values are added up before the shuffle, and a value held by a third of all rows is one row
-    afterwards.
+    afterwards. With ``digests`` the SHA-256 of a long text stands for it, which is enough to tell
+    texts apart and keeps whole documents out of the shuffle.
     """
     pieces = []
     for f in _profiled(df):
         approximate = isinstance(f.dataType, (FloatType, DoubleType))
         text = F.lit(None).cast("string") if approximate else F.col(f"`{f.name}`").cast("string")
+        if digests and isinstance(f.dataType, StringType):
+            text = F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
         pieces.append(F.struct(F.lit(f.name).alias("column"), text.alias("txt"), _number(f).alias("num")))
     long = df.select(F.inline(F.array(*pieces)))
     return (
@@ -263,13 +269,15 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
         sketches = {}
         for f in _profiled(df):
             c = F.col(f"`{f.name}`")
-            numeric = isinstance(f.dataType, NumericType)
-            sketches[f.name] = {"distinct": F.approx_count_distinct(c)} | {
-                f"q{round(p * 100)}": F.percentile_approx(_number(f), p).cast("double") if numeric else F.first(_number(f))
-                for p in QUANTILES
-            }
-        return _base_rows(df, sketches).select(*PROFILE_COLUMNS)
-    counts = materialize(value_counts(df), "values")
+            # one digest answers all quantiles
+            if isinstance(f.dataType, NumericType):
+                points = F.percentile_approx(_number(f), QUANTILES)
+            else:
+                points = F.first(F.lit(None).cast("array<double>"))
+            sketches[f.name] = {"distinct": F.approx_count_distinct(c), "points": points}
+        quantiles = {q: F.col("points")[i] for i, q in enumerate(PROFILE_COLUMNS[-3:])}
+        return _base_rows(df, sketches).withColumns(quantiles).select(*PROFILE_COLUMNS)
+    counts = materialize(value_counts(df, digests=True), "values")
     distinct = counts.groupBy("column").agg(F.count("*").alias("distinct"))
     return (
         _base_rows(df, {})
@@ -281,13 +289,21 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def value_sets(df: DataFrame, limit: int = 20) -> DataFrame:
-    """``column, values`` for the text columns with at most ``limit`` distinct values."""
-    counts = materialize(value_counts(df.select(*[f"`{f.name}`" for f in df.schema if isinstance(f.dataType, StringType)])), "values")
-    small = counts.groupBy("column").agg(F.count("*").alias("n")).where(F.col("n") <= limit)
+    """``column, values`` for the text columns with at most ``limit`` distinct values.
+
+    A sketch first rules out columns with clearly more values, so that only short lists are counted
+    exactly.
+    """
+    names = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    sizes = df.agg(*[F.approx_count_distinct(f"`{n}`").alias(n) for n in names]).first() if names else ()
+    few = [n for n, size in zip(names, sizes, strict=True) if size <= 2 * limit]
+    if not few:
+        return df.sparkSession.createDataFrame([], "column string, values array<string>")
+    counts = value_counts(df.select(*[f"`{n}`" for n in few]))
     return (
-        counts.join(small.select("column"), "column", "left_semi")
-        .groupBy("column")
+        counts.groupBy("column")
         .agg(F.array_sort(F.collect_list("txt")).alias("values"))
+        .where(F.size("values") <= limit)
     )
 
 

@@ -124,8 +124,10 @@ def schema_catalog(files: DataFrame, opener: Callable[[str], BinaryIO] = open_wi
     """One row per file and column, read from the footers on the executors.
 
     An unreadable file gives one row with ``error``. ``opener`` may be replaced for file systems
-    that Arrow does not know.
+    that Arrow does not know. Listing yields about one task per file; the paths are spread over as
+    many tasks as there are cores, so that the catalog does not end up in as many tiny files.
     """
+    cores = files.sparkSession.sparkContext.defaultParallelism
 
     def harvest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -134,7 +136,7 @@ def schema_catalog(files: DataFrame, opener: Callable[[str], BinaryIO] = open_wi
             frame = pd.DataFrame(rows, columns=names)
             yield frame.astype({"pos": "Int32"})
 
-    return files.select("path").mapInPandas(harvest, CATALOG_SCHEMA)
+    return files.select("path").repartition(cores).mapInPandas(harvest, CATALOG_SCHEMA)
 
 
 def split_quarantine(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -33,16 +33,19 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def read_partition(spark: SparkSession, base: str, keys: Sequence[str], **equal: str) -> DataFrame:
+def read_partition(
+    spark: SparkSession, base: str, keys: Sequence[str], schema: StructType | None = None, **equal: str
+) -> DataFrame:
     """Read a partitioned table, restricted to the given partition values.
 
     Partition columns stay text, so month ``01`` does not turn into the number 1. The restriction
     is a filter on partition columns: other directories are never opened, and the columns remain.
+    A known ``schema`` saves reading it from the files.
     """
-    inferred = read_parquet(spark, base).schema
+    if schema is None:
+        schema = read_parquet(spark, base).schema
     text = [StructField(k, StringType()) for k in keys]
-    schema = StructType([f for f in inferred if f.name not in keys] + text)
-    df = spark.read.schema(schema).parquet(base)
+    df = spark.read.schema(StructType([f for f in schema if f.name not in keys] + text)).parquet(base)
     for key, value in equal.items():
         if key not in keys:
             raise ValueError(f"{key} is not a partition column")

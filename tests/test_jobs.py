@@ -146,6 +146,20 @@ def test_partition_values_stay_text_and_prune(spark, folders):
         lake.read_partition(spark, folders["bronze"], presets.BRONZE_KEYS, vendorid="1")
 
 
+def test_hot_partition_is_split_on_write(spark, tmp_path):
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)
+    df = spark.range(300_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), hot.cast("string").alias("month"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1MB")
+    try:
+        lake.write_partitioned(lake.repartition_for_write(df, "rebalance", ["month"]), str(tmp_path / "t"), ["month"])
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "t" / "month=0").glob("*.parquet"))) > 1
+    assert lake.read_partition(spark, str(tmp_path / "t"), ["month"]).count() == 300_000
+
+
 def test_small_helpers(spark):
     assert lake.clean_path("s3a://bucket/x/", "/source_type=yellow/") == "s3a://bucket/x/source_type=yellow"
     df = spark.range(100)

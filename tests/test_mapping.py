@@ -60,6 +60,12 @@ def test_similar_pairs_long_names_in_one_hot_family(spark):
     assert got == brute_pairs([n for n in names if n], 0.8)
 
 
+def test_candidates_come_from_an_equi_join(spark):
+    pairs = m.candidate_pairs(names_frame(spark, random_names(1, 30)), 0.8)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Cartesian" not in plan
+
+
 def test_top_similar_matches_library_choice(spark):
     names = random_names(5, 120, alphabet="abc", lo=4, hi=8)
     pairs = m.similar_pairs(names_frame(spark, names), "name")

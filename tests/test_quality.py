@@ -147,6 +147,16 @@ def test_suite_from_profile_accepts_its_own_data(spark, trips, tmp_path):
     assert not q.check(q.quality_report(worse, suite)).first().success
 
 
+def test_long_texts_are_counted_as_wholes(spark):
+    texts = ["x" * 500 + end for end in "aabbc"] + ["short", "short", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    row = q.profile(df, exact=True).first()
+    assert (row.n, row.nulls, row["distinct"], row["max"]) == (8, 1, 4, "x" * 500 + "c")
+    assert q.value_sets(df, limit=3).count() == 0
+    assert q.value_sets(df, limit=4).first()["values"] == sorted(set(t for t in texts if t))
+    assert q.value_sets(spark.range(3)).count() == 0
+
+
 def test_running_total_and_ordinal(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 5).alias("w")).repartition(9)
     got = {r.id: r.t for r in with_running_total(df, ["id"], F.col("w"), "t").collect()}
