@@ -9,15 +9,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Bits of the whole-number types that are read through double, which holds all their values.
+WHOLE = {"tinyint": 8, "smallint": 16, "int": 32, "integer": 32}
+
+
 def lenient_cast(column: Column, to: str) -> Column:
     """Cast that yields null for bad input.
 
-    Text such as ``1.0`` is a valid whole number, so integer targets are read as double first
-    and then cut off; a direct ``try_cast`` of that text would give null.
+    Text such as ``1.0`` is a valid whole number, so integer targets are read as double first and
+    then cut off; a direct ``try_cast`` of that text would give null. The range is tested before the
+    cut because a failing ``try_cast`` of a number builds an error for every such row.
     """
-    if to in ("int", "integer", "smallint", "tinyint"):
-        return column.try_cast("double").try_cast(to)
-    return column.try_cast(to)
+    if to not in WHOLE:
+        return column.try_cast(to)
+    number = column.try_cast("double")
+    end = float(2 ** (WHOLE[to] - 1))
+    return F.when((number > -end - 1) & (number < end), number.cast(to))
 
 
 def null_as_zero_sum(columns: Iterable[Column]) -> Column:
@@ -38,8 +45,11 @@ def rounded_mean(value: Column, digits: int = 2, scale: int | None = None) -> Co
         return F.round(F.avg(value), digits)
     if digits > scale:
         raise ValueError("digits may not exceed scale")
-    units = F.round(value * F.lit(float(10**scale))).cast("decimal(20,0)")
-    total, n = F.sum(units), F.count(value)
+    units = F.rint(value * F.lit(float(10**scale))).cast("long")
+    # two sums of longs, upper and lower bits, cannot overflow and are cheaper than one of decimals
+    upper = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    lower = F.sum(units.bitwiseAND(F.lit(2**20 - 1)))
+    total, n = upper * F.lit(2**20) + lower, F.count(value)
     step = F.lit(10 ** (scale - digits))
     # floor((2*|total| + n*step) / (2*n*step)), with the sign put back
     rounded = F.call_function("div", F.lit(2) * F.abs(total) + n * step, F.lit(2) * n * step)
