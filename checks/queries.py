@@ -230,8 +230,7 @@ def similar_names_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = link_names(spark, sf_dir)
-    return mapping.group_columns(seen.select("name"), cooccur=seen, exclusive=["the", "and"])
+    return mapping.group_columns(cooccur=link_names(spark, sf_dir), exclusive=["the", "and"])
 
 
 def group_columns_no_veto(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,7 +218,7 @@ def _split_clashes(members: DataFrame, cooccur: DataFrame) -> DataFrame:
 
 
 def group_columns(
-    names: DataFrame,
+    names: DataFrame | None = None,
     pairs: DataFrame | None = None,
     cooccur: DataFrame | None = None,
     veto: bool = True,
@@ -230,13 +230,19 @@ def group_columns(
 
     Names are taken in sorted order of their normalised form; each free one becomes a head and takes
     all free names like it. ``exclusive`` names form groups of their own. With ``veto`` two names
-    that occur in one source (``cooccur``: ``source, name``) never share a group. ``top_n`` keeps a
-    likeness only if it is among the best ``top_n`` of either name.
+    that occur in one source (``cooccur``: ``source, name``) never share a group. Without ``names``,
+    those in ``cooccur`` are grouped, which reads that input only once. ``top_n`` keeps a likeness
+    only if it is among the best ``top_n`` of either name.
     """
     if veto and cooccur is None:
         raise ValueError("the veto needs the names' occurrences")
+    if names is None and cooccur is None:
+        raise ValueError("no names to group")
+    seen = None
+    if veto or names is None:
+        seen = materialize(cooccur.select("source", "name").distinct(), "occurrences")
     vocabulary = materialize(
-        names.select(F.col("name").alias("raw"), norm_name("name").alias("norm"))
+        (seen if names is None else names).select(F.col("name").alias("raw"), norm_name("name").alias("norm"))
         .where(F.col("raw").isNotNull())
         .distinct(),
         "vocabulary",
@@ -250,9 +256,7 @@ def group_columns(
         either = kept.unionByName(kept.select(F.col("candidate").alias("head"), F.col("head").alias("candidate")))
         pairs = pairs.join(either.distinct(), ["head", "candidate"], "left_semi")
     edges = pairs.where("head < candidate").select("head", "candidate", "ratio")
-    seen = None
     if veto:
-        seen = materialize(cooccur.select("source", "name").distinct(), "occurrences")
         edges = _drop_cooccurring(
             edges, seen.select("source", norm_name("name").alias("norm")).distinct()
         )

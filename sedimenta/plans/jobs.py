@@ -76,10 +76,8 @@ def harvest(
 
 def mapping_from_catalog(good: DataFrame, policy: MappingPolicy) -> DataFrame:
     """Group, name, split and complete the column names of a catalog."""
-    seen = occurrences(good)
     groups = m.group_columns(
-        good.select("name").distinct(),
-        cooccur=seen,
+        cooccur=occurrences(good),
         veto=policy.veto,
         exclusive=policy.exclusive,
         cutoff=policy.cutoff,

@@ -137,7 +137,11 @@ def test_no_group_shares_a_source_on_random_catalogs(spark):
     rows = [(f"s{s}", n) for s in range(12) for n in rng.sample(names, 12)]
     rows += [("both", "x_y1z"), ("both", "XY1Z"), ("both", "xy1z")]
     seen = spark.createDataFrame(rows, "source string, name string")
-    groups = m.group_columns(seen.select("name").distinct(), cooccur=seen).collect()
+    with pytest.raises(ValueError):
+        m.group_columns(seen)
+    with pytest.raises(ValueError):
+        m.group_columns(veto=False)
+    groups = m.group_columns(cooccur=seen).collect()
     assert sorted(g.raw for g in groups) == sorted({n for _, n in rows})
     home = {g.raw: g.ordinal for g in groups}
     per_source = {}
