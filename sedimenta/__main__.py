@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from sedimenta import presets
 from sedimenta.plans import jobs
 from sedimenta.plans.specs import RunConfig, RunReport
+from sedimenta.session import ship
 
 
 def _parse(argv: list[str]) -> argparse.Namespace:
@@ -50,6 +51,7 @@ def run(spark: SparkSession, argv: list[str]) -> list[RunReport]:
 
 def main() -> int:
     spark = SparkSession.builder.appName("sedimenta").getOrCreate()
+    ship(spark)
     reports = run(spark, sys.argv[1:])
     for report in reports:
         print(report.job, report.status, report.rows if report.rows is not None else "", report.error or "")

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        home = Path(__file__).resolve().parent
+        archive = f"{tempfile.mkdtemp(prefix='package-')}/{home.name}"
+        context.addPyFile(shutil.make_archive(archive, "zip", home.parent, home.name))
+        _shipped.add(context.applicationId)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
