@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import quality_rules
+from sedimenta.llm import quality_rules, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score_documents(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept", "failed")
 
 
 QUERIES = {
+    "op4_secrets": op4_secrets,
     "op8_quality_rules": op8_quality_rules,
 }
