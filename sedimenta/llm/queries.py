@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import quality_rules, secrets
+from sedimenta.llm import packing, quality_rules, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score_documents(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept", "failed")
@@ -23,5 +28,6 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_secrets": op4_secrets,
+    "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
 }
