@@ -14,15 +14,17 @@ batch plus the transition arrays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.automaton import Automaton, compile_rules, parse, reverse
+from sedimenta.llm.batches import Made, Texts, map_texts
 from sedimenta.session import ship
 
 
@@ -63,6 +65,7 @@ RULES = (
 )
 
 SPAN = "array<struct<kind:string,start:int,end:int>>"
+ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 @dataclass(frozen=True)
@@ -149,18 +152,16 @@ def find_secrets(
     docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """One row per document: ``doc_id`` and ``secrets``, an array of kind, start and end."""
-    ship(docs.sparkSession)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def prepare() -> Callable[[Texts], Made]:
         spans_of = scanner(rules).spans
-        for batch in batches:
-            rows = [
-                [{"kind": k, "start": s, "end": e} for k, s, e in spans_of(t)] for t in batch["text"]
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "secrets": rows})
 
-    plain = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"))
-    return plain.mapInPandas(scan, f"doc_id {plain.schema[0].dataType.simpleString()}, secrets {SPAN}")
+        def scan(texts: Texts) -> Made:
+            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in spans_of(t)] for t in texts]
+            return None, [pa.array(rows, ARROW_SPAN)]
+
+        return scan
+
+    return map_texts(docs, f"secrets {SPAN}", prepare, key, text)
 
 
 def digest(spans: Column) -> Column:
@@ -175,9 +176,11 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     """Counts per base kind, the digest of the base spans, and all spans as one string."""
     base = [rule.kind for rule in rules if rule.base]
     found = find_secrets(docs, rules=rules)
-    counts = {
-        f"n_{kind}": F.size(F.filter("secrets", lambda s, k=kind: s["kind"] == k)).cast("long") for kind in base
-    }
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = {f"n_{kind}": count(kind) for kind in base}
     return found.withColumns(counts).select(
         "doc_id",
         *counts,
