@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sedimenta.llm import decontaminate as c
 from sedimenta.llm import quality_rules as q
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -48,6 +49,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j
 """
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PLAIN_WORDS = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {PLAIN_WORDS} AS words FROM documents),
+b AS (SELECT item_id, {PLAIN_WORDS} AS words FROM benchmark),
+w AS (
+  SELECT DISTINCT item_id, least(len(words), {c.N}) AS n, array_to_string(words[i:i + {c.N - 1}], ' ') AS g
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - {c.N - 2}, 2))) AS i FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT n FROM w),
+g AS (
+  SELECT rid, n, i, array_to_string(words[i:i + n - 1], ' ') AS g
+  FROM (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, sizes WHERE len(words) >= n)),
+hit AS (SELECT rid, i, g.n, item_id FROM g JOIN w ON g.g = w.g AND g.n = w.n),
+places AS (SELECT DISTINCT rid, unnest(range(i, i + n)) AS at FROM hit),
+covered AS (SELECT rid, count(*) AS n_hit FROM places GROUP BY rid),
+found AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {c.SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
+"""
+
 ORACLES = {
     "op8_quality_rules": QUALITY,
+    "op10_decontaminate": CONTAMINATION,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import packing, quality_rules, secrets, simhash
+from sedimenta.llm import decontaminate, packing, quality_rules, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +30,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept", "failed")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_secrets": op4_secrets,
     "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op10_decontaminate": op10_decontaminate,
 }
