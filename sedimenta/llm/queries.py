@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import decontaminate, packing, pii, quality_rules, secrets, simhash
+from sedimenta.llm import decontaminate, language_model, packing, pii, quality_rules, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_personal_data": op3_personal_data,
     "op4_secrets": op4_secrets,
+    "op5_language_model": op5_language_model,
     "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
     "op10_decontaminate": op10_decontaminate,
