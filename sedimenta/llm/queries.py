@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import decontaminate, language_model, packing, pii, quality_rules, secrets, simhash
+from sedimenta.llm import decontaminate, language_id, language_model, packing, pii, quality_rules, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score_documents(table(spark, sf_dir, "documents"))
     return scored.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept", "failed")
@@ -48,6 +52,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_language_model": op5_language_model,
     "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op10_decontaminate": op10_decontaminate,
 }
