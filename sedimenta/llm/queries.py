@@ -4,9 +4,19 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sedimenta.llm import decontaminate, language_id, language_model, packing, pii, quality_rules, secrets, simhash
+from sedimenta.llm import (
+    decontaminate,
+    language_id,
+    language_model,
+    licenses,
+    packing,
+    pii,
+    quality_rules,
+    secrets,
+    simhash,
+    token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +27,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -42,17 +56,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept", "failed")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_licenses": op2_licenses,
     "op3_personal_data": op3_personal_data,
     "op4_secrets": op4_secrets,
     "op5_language_model": op5_language_model,
     "op6_packing": op6_packing,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
 }
