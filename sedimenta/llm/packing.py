@@ -55,18 +55,21 @@ def fillings(bins: int, depth: int) -> list[tuple[int, ...]]:
 
 def nonnegative_least_squares(matrix: np.ndarray, target: np.ndarray, rounds: int = 2000) -> np.ndarray:
     """x >= 0 that minimises |matrix x - target|, by growing and shrinking a set of free columns."""
+    aim = matrix.T @ target
     x = np.zeros(matrix.shape[1])
     free = np.zeros(matrix.shape[1], dtype=bool)
     slack = 1e-9 * max(1.0, float(np.abs(target).max(initial=0.0)))
+    ridge = 1e-9  # for combinations that depend on each other
     for _ in range(rounds):
-        gain = np.where(free, -np.inf, matrix.T @ (target - matrix @ x))
+        gain = np.where(free, -np.inf, aim - matrix.T @ (matrix @ x))
         best = int(gain.argmax())
         if gain[best] <= slack:
             break
         free[best] = True
         while True:
             columns = np.flatnonzero(free)
-            solved = np.linalg.lstsq(matrix[:, columns], target, rcond=None)[0]
+            part = matrix[:, columns]
+            solved = np.linalg.solve(part.T @ part + ridge * np.eye(len(columns)), aim[columns])
             if (solved > 0).all():
                 x[:] = 0
                 x[columns] = solved
