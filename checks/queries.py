@@ -193,7 +193,7 @@ def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suite_from_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    suite = quality.suite_from_profile(quality.profile(orders), quality.value_sets(orders))
+    suite = quality.suite_from_profile(quality.profile(orders), quality.value_sets(orders, limit=20))
     return suite.withColumn("values", F.array_join("values", "|"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,34 +16,44 @@ _HREF = (
     r"""(?is)^(?:\s*+(?!href\s*+=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+|\s*+/)*+"""
     r"""\s*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 )
-# Named character references decoded in attribute values.
-ENTITIES = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": " ",
+# The named character references of HTML, those of everyday use first.
+_COMMON = ("amp", "lt", "gt", "quot", "apos", "nbsp")
+ENTITIES = {name: html5[f"{name};"] for name in _COMMON} | {
+    name[:-1]: text for name, text in html5.items() if name.endswith(";")
 }
+_REPLACEMENT = "\ufffd"
+# Numbers 128 to 159 stand for the characters of windows-1252, where it has them.
+_WINDOWS = {n: text for n in range(128, 160) if (text := bytes([n]).decode("cp1252", "ignore"))}
 # Generic URI syntax: scheme, authority, path, query, fragment.
 _URI = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _BLANK_ENDS = r"^\s+|\s+$"
 
 
+def _literal_map(pairs: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def _symbol(code: Column) -> Column:
+    """The character with a number; what is no character is the replacement character."""
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+    named = F.when(code.between(128, 159), F.try_element_at(_literal_map(_WINDOWS), code.cast("int")))
+    return F.coalesce(named, plain, F.lit(_REPLACEMENT))
+
+
 def _decode_reference(piece: Column) -> Column:
     """Decode the character reference that starts ``piece`` (the text after one ``&``)."""
-    named = F.regexp_extract(piece, r"^([a-zA-Z]+);", 1)
-    decimal = F.regexp_extract(piece, r"^#([0-9]{1,6});", 1)
-    hexadecimal = F.regexp_extract(piece, r"(?i)^#x([0-9a-f]{1,5});", 1)
+    named = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*);", 1)
+    number = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);", 1)
     rest = F.regexp_replace(piece, r"^[^;]*;", "")
-    table = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
-    code = F.when(decimal != "", F.hex(decimal.try_cast("long"))).when(
-        hexadecimal != "", hexadecimal
-    )
-    symbol = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+    digits = F.regexp_replace(F.regexp_replace(number, "^[xX]", ""), "^0+(?=.)", "")
+    base = F.when(number.rlike("^[xX]"), 16).otherwise(10)
+    # more than eight digits are no character; conv of fewer cannot overflow
+    code = F.when(F.length(digits) < 9, F.call_function("conv", digits, base, F.lit(10)).cast("long")).otherwise(0)
+    text = F.when(named != "", F.try_element_at(_literal_map(ENTITIES), named))
     return (
-        F.when(code.isNotNull(), F.concat(symbol, rest))
-        .when(F.try_element_at(table, named).isNotNull(), F.concat(F.try_element_at(table, named), rest))
+        F.when(number != "", F.concat(_symbol(code), rest))
+        .when(text.isNotNull(), F.concat(text, rest))
         .otherwise(F.concat(F.lit("&"), piece))
     )
 
@@ -86,7 +98,7 @@ def _fold_dots(path: Column) -> Column:
 
 
 def resolve_url(base: Column | str, href: Column | str) -> Column:
-    """Absolute address of ``href`` found on the page ``base``."""
+    """Absolute address of ``href`` found on the page ``base``; null if neither has a scheme."""
     base = F.col(base) if isinstance(base, str) else base
     href = F.col(href) if isinstance(href, str) else href
     b_scheme, b_host, b_path, b_query = (
@@ -116,6 +128,7 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     return (
         F.when(plain & (site != ""), F.concat(site, href))
         .when(href == "", base)
+        .when((b_scheme == "") & (scheme == ""), F.lit(None))
         .when((scheme != "") & (F.lower(scheme) != F.lower(b_scheme)), href)
         .when(host != "", F.concat(root, host, path, tail(query)))
         .when(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.dates import base_name, date_ref
+from sedimenta.functions.numbers import lenient_cast
 from sedimenta.sources.catalog import SchemaGroup
 
 # Names of the metadata columns, tag of unknown sources.
@@ -70,7 +71,7 @@ def _exact(name: str) -> str:
 
 
 def _typed(column: Column, to: str | None) -> Column:
-    return column if to is None else column.try_cast(to)
+    return column if to is None else lenient_cast(column, to)
 
 
 def tag_source(path: Column | str, rules: Sequence[tuple[str, str]], default: str = UNKNOWN_SOURCE) -> Column:

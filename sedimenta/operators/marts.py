@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions.numbers import rounded_mean
+from sedimenta.functions.numbers import rounded_mean, rounded_mean_sql
 from sedimenta.sources.lake import quoted
 
 # Output names of the two means.
@@ -39,20 +39,24 @@ def hourly_mean(
     )
 
 
-def monthly_mean_sql(view: str, keys: Sequence[str], value: str, digits: int = 2, out: str = MONTHLY) -> str:
-    """The monthly mean as SQL text over a table or view."""
+def monthly_mean_sql(
+    view: str, keys: Sequence[str], value: str, digits: int = 2, out: str = MONTHLY, scale: int | None = None
+) -> str:
+    """The monthly mean as SQL text over a table or view; see ``rounded_mean`` for ``scale``."""
     names = ", ".join(quoted(k) for k in keys)
     return (
-        f"SELECT {names}, ROUND(AVG({quoted(value)}), {int(digits)}) AS {quoted(out)} "
+        f"SELECT {names}, {rounded_mean_sql(quoted(value), digits, scale)} AS {quoted(out)} "
         f"FROM {quoted(view)} GROUP BY {names} ORDER BY {names}"
     )
 
 
-def hourly_mean_sql(view: str, ts: str, value: str, digits: int = 2, out: str = HOURLY) -> str:
+def hourly_mean_sql(
+    view: str, ts: str, value: str, digits: int = 2, out: str = HOURLY, scale: int | None = None
+) -> str:
     """The hourly mean as SQL text; grouping uses the select list's names."""
     return (
         f"SELECT DATE({quoted(ts)}) AS {DAY}, HOUR({quoted(ts)}) AS {HOUR}, "
-        f"ROUND(AVG({quoted(value)}), {int(digits)}) AS {quoted(out)} "
+        f"{rounded_mean_sql(quoted(value), digits, scale)} AS {quoted(out)} "
         f"FROM {quoted(view)} GROUP BY {DAY}, {HOUR} ORDER BY {DAY}, {HOUR}"
     )
 

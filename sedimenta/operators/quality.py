@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     FloatType,
+    FractionalType,
     NumericType,
     StringType,
     StructType,
@@ -74,11 +75,12 @@ def _bad(e: Expectation, schema: StructType) -> Column:
     if e.kind == "in_set":
         return ~value.cast("string").isin(*e.values)
     declared = schema[e.column].dataType
-    # text bounds of dates and times take the column's type; numbers keep their own
-    typed = isinstance(declared, (DateType, TimestampType, TimestampNTZType))
+    # bounds take the column's type, so that a float meets a bound that is written like it; a whole
+    # number keeps a bound with a fraction as it is
+    typed = isinstance(declared, (DateType, TimestampType, TimestampNTZType, FractionalType))
 
     def bound(x: Any) -> Column:
-        return F.lit(x).cast(declared) if typed else F.lit(x)
+        return F.lit(x).cast(declared) if typed or isinstance(x, str) else F.lit(x)
 
     tests = []
     if e.lo is not None:
@@ -111,7 +113,8 @@ def suite_metrics(suite: Sequence[Expectation], schema: StructType) -> list[Colu
     return columns
 
 
-def _passed(e: Expectation, evaluated: Any, violations: Any) -> Any:
+def passed(e: Expectation, evaluated: Any, violations: Any) -> Any:
+    """Whether enough rows meet ``e``; for numbers and for columns."""
     if e.mostly >= 1.0:
         return violations == 0
     return evaluated - violations >= evaluated * e.mostly - 1e-9
@@ -128,7 +131,7 @@ def quality_report(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
             F.lit(e.column).alias("column"),
             F.col(f"e{i}").alias("evaluated"),
             F.col(f"v{i}").alias("violations"),
-            _passed(e, F.col(f"e{i}"), F.col(f"v{i}")).alias("success"),
+            passed(e, F.col(f"e{i}"), F.col(f"v{i}")).alias("success"),
         )
         for i, e in enumerate(suite)
     ]
@@ -138,7 +141,7 @@ def quality_report(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
 def report_from_metrics(spark: SparkSession, suite: Sequence[Expectation], metrics: dict[str, int]) -> DataFrame:
     """The same report from observed aggregates."""
     rows = [
-        (e.kind, e.column, metrics[f"e{i}"], metrics[f"v{i}"], bool(_passed(e, metrics[f"e{i}"], metrics[f"v{i}"])))
+        (e.kind, e.column, metrics[f"e{i}"], metrics[f"v{i}"], bool(passed(e, metrics[f"e{i}"], metrics[f"v{i}"])))
         for i, e in enumerate(suite)
     ]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
@@ -210,14 +213,11 @@ def _base_rows(df: DataFrame, extra: dict[str, dict[str, Column]]) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-LONG_TEXT = 64
-
-
 def value_counts(df: DataFrame, digests: bool = False) -> DataFrame:
     """``column, txt, num, weight``: each distinct non-null value of each column and its count.
 
     Equal values are added up before the shuffle, and a value held by a third of all rows is one row
-    afterwards. With ``digests`` the SHA-256 of a long text stands for it, which is enough to tell
+    afterwards. With ``digests`` the SHA-256 of a text stands for it, which is enough to tell
     texts apart and keeps whole documents out of the shuffle.
     """
     pieces = []
@@ -225,7 +225,7 @@ def value_counts(df: DataFrame, digests: bool = False) -> DataFrame:
         approximate = isinstance(f.dataType, (FloatType, DoubleType))
         text = F.lit(None).cast("string") if approximate else F.col(f"`{f.name}`").cast("string")
         if digests and isinstance(f.dataType, StringType):
-            text = F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+            text = F.sha2(text, 256)
         pieces.append(F.struct(F.lit(f.name).alias("column"), text.alias("txt"), _number(f).alias("num")))
     long = df.select(F.inline(F.array(*pieces)))
     return (
@@ -288,23 +288,22 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
-def value_sets(df: DataFrame, limit: int = 20) -> DataFrame:
-    """``column, values`` for the text columns with at most ``limit`` distinct values.
+def value_sets(df: DataFrame, limit: int) -> DataFrame:
+    """``column, values`` of the text columns; ``values`` is null where there are more than ``limit``.
 
     A sketch first rules out columns with clearly more values, so that only short lists are counted
-    exactly.
+    exactly. A column that is ruled out still has its row.
     """
     names = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
     sizes = df.agg(*[F.approx_count_distinct(f"`{n}`").alias(n) for n in names]).first() if names else ()
     few = [n for n, size in zip(names, sizes, strict=True) if size <= 2 * limit]
+    every = df.sparkSession.createDataFrame([(n,) for n in names], "column string")
     if not few:
-        return df.sparkSession.createDataFrame([], "column string, values array<string>")
+        return every.withColumn("values", F.lit(None).cast("array<string>"))
     counts = value_counts(df.select(*[f"`{n}`" for n in few]))
-    return (
-        counts.groupBy("column")
-        .agg(F.array_sort(F.collect_list("txt")).alias("values"))
-        .where(F.size("values") <= limit)
-    )
+    short = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit).select("column")
+    lists = counts.join(short, "column").groupBy("column").agg(F.array_sort(F.collect_list("txt")).alias("values"))
+    return every.join(lists, "column", "left")
 
 
 def suite_from_profile(profiled: DataFrame, sets: DataFrame | None = None) -> DataFrame:
@@ -329,7 +328,7 @@ def suite_from_profile(profiled: DataFrame, sets: DataFrame | None = None) -> Da
     if sets is None:
         return suite
     return suite.unionByName(
-        sets.select(
+        sets.where(F.col("values").isNotNull()).select(
             F.lit("in_set").alias("expectation"), "column", nothing.alias("lo"), nothing.alias("hi"), "values"
         )
     )
@@ -354,7 +353,9 @@ def as_expectations(suite: DataFrame) -> list[Expectation]:
             value = json.loads(text) if text is not None else None
         except ValueError:
             return text
-        return value if isinstance(value, (int, float)) else text
+        # a number with more digits than a double has stays text, and takes the column's type when compared
+        exact = isinstance(value, int) or isinstance(value, float) and len(text.strip("-0").replace(".", "")) <= 15
+        return value if exact else text
 
     return [
         Expectation(r.expectation, r["column"], bound(r.lo), bound(r.hi), values=tuple(r["values"] or ()))

@@ -18,13 +18,19 @@ from sedimenta.operators.quality import (
     Expectation,
     check,
     enforce,
+    load_suite,
+    passed,
+    profile,
     quality_report,
     report_from_metrics,
+    save_suite,
+    suite_from_profile,
     suite_metrics,
+    value_sets,
     write_report,
 )
 from sedimenta.plans.specs import BronzePolicy, MappingPolicy, MartSpec, RunConfig, RunReport, SilverSpec
-from sedimenta.session import materialize
+from sedimenta.session import materialize, scratch_path
 from sedimenta.sources.catalog import (
     SourceMissing,
     file_catalog,
@@ -153,7 +159,7 @@ def run_silver(spark: SparkSession, src: str, dst: str, spec: SilverSpec) -> Run
         enforce(quality_report(df, spec.suite))
     seen = _observed_write(repartition_for_write(df, spec.layout, spec.keys), dst, spec.keys, spec.mode, spec.suite)
     report = report_from_metrics(spark, spec.suite, seen)
-    failed = [e.kind + " " + e.column for i, e in enumerate(spec.suite) if seen[f"v{i}"] > 0]
+    failed = [e.kind + " " + e.column for i, e in enumerate(spec.suite) if not passed(e, seen[f"e{i}"], seen[f"v{i}"])]
     if failed:
         log.warning("silver: rows violate %s", ", ".join(failed))
     if spec.report_path:
@@ -169,8 +175,8 @@ def run_marts(spark: SparkSession, table: str, path: str, spec: MartSpec, schema
     register_table(spark, table, schema, path, spec.keys)
     repair_table(spark, table)
     frames = {
-        "monthly": spark.sql(monthly_mean_sql(table, spec.keys, spec.amount, spec.digits)),
-        "hourly": spark.sql(hourly_mean_sql(table, spec.ts, spec.passengers, spec.digits)),
+        "monthly": spark.sql(monthly_mean_sql(table, spec.keys, spec.amount, spec.digits, scale=spec.scale)),
+        "hourly": spark.sql(hourly_mean_sql(table, spec.ts, spec.passengers, spec.digits, scale=spec.scale)),
     }
     return RunReport("marts", "ok", frames=frames)
 
@@ -179,17 +185,32 @@ def run_marts(spark: SparkSession, table: str, path: str, spec: MartSpec, schema
 def run_quality(
     spark: SparkSession,
     path: str,
-    suite: Sequence[Expectation],
+    suite: Sequence[Expectation] | None = None,
     n: int = 10_000,
     view: str = "sample_df",
     report_path: str | None = None,
+    suite_path: str | None = None,
+    on_fail: str = "warn",
+    set_limit: int = 20,
 ) -> RunReport:
-    """Check a bounded sample of a table on its own; the sample stays visible as a view."""
+    """Check a bounded sample of a table on its own; the sample stays visible as a view.
+
+    Without a ``suite`` the sample is profiled and the suite made from the profile. ``suite_path``
+    stores that suite, and the check runs with the stored one, as a later run would. With
+    ``on_fail="raise"`` a failed check fails the job.
+    """
     sample = bounded_sample(read_parquet(spark, path), n)
     sample.createOrReplaceTempView(view)
+    if suite is None:
+        made = suite_from_profile(profile(sample), value_sets(sample, set_limit))
+        where = suite_path or scratch_path(spark, "suite")
+        save_suite(made, where)
+        suite = load_suite(spark, where)
     report = materialize(quality_report(sample, suite), "report")
     if report_path:
         write_report(report, report_path)
+    if on_fail == "raise":
+        enforce(report)
     status = "ok" if check(report).first().success else "failed"
     return RunReport("quality", status, quality=report)
 

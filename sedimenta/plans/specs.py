@@ -67,11 +67,14 @@ class SilverSpec:
 
 @dataclass(frozen=True)
 class MartSpec:
+    """``scale``: decimals of the values; with it means do not depend on the order of rows."""
+
     keys: tuple[str, ...]
     amount: str
     ts: str
     passengers: str
     digits: int = 2
+    scale: int | None = None
 
 
 @dataclass(frozen=True)

@@ -67,4 +67,4 @@ TRIP_SILVER = SilverSpec(
     keys=SILVER_KEYS,
     suite=trip_suite(),
 )
-TRIP_MARTS = MartSpec(keys=SILVER_KEYS, amount="total_amount", ts=PICKUP, passengers="passenger_count")
+TRIP_MARTS = MartSpec(keys=SILVER_KEYS, amount="total_amount", ts=PICKUP, passengers="passenger_count", scale=2)

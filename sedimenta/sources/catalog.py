@@ -6,15 +6,14 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
-from typing import BinaryIO
+from typing import Any, BinaryIO
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
-CATALOG_SCHEMA = "path string, fingerprint string, pos int, name string, type string, error string"
+CATALOG_SCHEMA = "path string, fingerprint string, pos int, name string, type string, sql_type string, error string"
 
 
 class SourceMissing(Exception):
@@ -30,38 +29,44 @@ class SchemaGroup:
     df: DataFrame
 
 
-def _entry_pattern(glob: str) -> str:
-    parts = {"*": "[^/]*", "?": "[^/]"}
-    return "".join(parts.get(c) or re.escape(c) for c in glob)
+def _listed(spark: SparkSession, root: str, glob: str) -> Iterator[tuple[str, int, int]]:
+    """Path, length and modification time of the matching files of one root, from the file system's own listing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - Spark has no other listing of bare files
+    path = hadoop.Path(root)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())  # noqa: SLF001
+    matches = hadoop.GlobFilter(glob).accept
+    literal = hadoop.Path(_literal_path(root))
+    # a folder may have brackets in its name, so the name as it stands comes first
+    tops = system.globStatus(literal) or system.globStatus(path)
+    if not tops:
+        raise SourceMissing(root)
+
+    def below(folder: object) -> Iterator[object]:
+        for entry in system.listStatus(folder):
+            if entry.getPath().getName()[0] in "._":
+                continue
+            if entry.isDirectory():
+                yield from below(entry.getPath())
+            else:
+                yield entry
+
+    for top in tops:
+        for entry in system.listStatus(top.getPath()) if top.isDirectory() else [top]:
+            if matches(entry.getPath()):
+                for file in below(entry.getPath()) if entry.isDirectory() else [entry]:
+                    yield file.getPath().toString(), file.getLen(), file.getModificationTime()
 
 
 def file_catalog(spark: SparkSession, roots: str | Iterable[str], glob: str = "*.parquet") -> DataFrame:
     """Files directly below each root whose name matches ``glob``: ``path, length, modified``.
 
-    A directory whose name matches (a dataset written by Spark) counts through its part files;
-    other subdirectories are not entered. File contents are never read. Spark leaves files of length
-    zero out of every scan, here as well; they hold no rows.
+    A directory whose name matches is a dataset: all files in it count, at any depth, but for hidden
+    and marker files. Other subdirectories are not entered. A root may be a relative path, a glob that
+    stands for several folders, or a file. File contents are never read.
     """
-    roots = [roots] if isinstance(roots, str) else list(roots)
-    frames = []
-    for root in roots:
-        try:
-            files = (
-                spark.read.format("binaryFile")
-                .option("pathGlobFilter", glob)
-                .option("recursiveFileLookup", True)
-                .load(root)
-            )
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                raise SourceMissing(root) from error
-            raise
-        tail = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*|^(?:\./)+", "", root).rstrip("/") + "/"
-        start = F.instr(F.col("path"), tail) + len(tail)
-        below = F.col("path").substr(start, F.length("path"))
-        flat = below.rlike(f"^{_entry_pattern(glob)}(?:/[^/]+)?$")
-        frames.append(files.where(flat).select("path", "length", F.col("modificationTime").alias("modified")))
-    return reduce(DataFrame.unionByName, frames)
+    found = [row for root in ([roots] if isinstance(roots, str) else roots) for row in _listed(spark, root, glob)]
+    files = spark.createDataFrame(found, "path string, length long, modified long")
+    return files.withColumn("modified", F.timestamp_millis("modified"))
 
 
 def open_with_arrow(path: str) -> BinaryIO:
@@ -93,46 +98,101 @@ def _footer(handle: BinaryIO) -> bytes:
     return b"PAR1" + handle.read(length) + end
 
 
-def _columns_of(path: str, opener: Callable[[str], BinaryIO]) -> list[dict]:
+def _sql_type(kind: Any) -> str:
+    """The Spark type in which Spark's reader gives an Arrow type; raises ``ValueError`` where it gives none."""
+    import pyarrow.types as t
+
+    plain = {
+        "bool": "boolean", "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint",
+        "uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64": "decimal(20,0)",
+        "float": "float", "double": "double", "string": "string", "large_string": "string",
+        "binary": "binary", "large_binary": "binary", "date32[day]": "date",
+    }
+    if str(kind) in plain:
+        return plain[str(kind)]
+    if t.is_timestamp(kind) and kind.unit != "ns":
+        return "timestamp" if kind.tz else "timestamp_ntz"
+    if t.is_timestamp(kind):
+        raise ValueError("timestamps in nanoseconds")
+    if t.is_decimal(kind) and kind.precision <= 38:
+        return f"decimal({kind.precision},{kind.scale})"
+    if t.is_fixed_size_binary(kind):
+        return "binary"
+    if t.is_dictionary(kind):
+        return _sql_type(kind.value_type)
+    if t.is_map(kind):
+        return f"map<{_sql_type(kind.key_type)},{_sql_type(kind.item_type)}>"
+    if t.is_list(kind) or t.is_large_list(kind) or t.is_fixed_size_list(kind):
+        return f"array<{_sql_type(kind.value_type)}>"
+    if t.is_struct(kind):
+        names = [f"`{f.name.replace('`', '``')}`:{_sql_type(f.type)}" for f in kind]
+        return f"struct<{','.join(names)}>"
+    raise ValueError(f"type {kind}")
+
+
+def _fields(footer: bytes, case_sensitive: bool) -> list[tuple[str, str, str]]:
+    """Name, Arrow type and Spark type of each column; raises for what Spark cannot read."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    file = pq.ParquetFile(pa.BufferReader(footer))
+    leaves = file.metadata.schema
+    # Arrow shows these old 96-bit timestamps as nanoseconds; Spark reads them
+    old = {leaves.column(i).path.split(".")[0] for i in range(len(leaves)) if leaves.column(i).physical_type == "INT96"}
+    fields = []
+    for field in file.schema_arrow:
+        try:
+            fields.append((field.name, str(field.type), "timestamp" if field.name in old else _sql_type(field.type)))
+        except ValueError as error:
+            raise ValueError(f"column {field.name}: Spark does not read {error}") from error
+    seen: dict[str, str] = {}
+    for name, _, _ in fields:
+        other = seen.setdefault(name if case_sensitive else name.lower(), name)
+        if other is not name:
+            raise ValueError(f"columns {other} and {name} differ by case only")
+    return fields
+
+
+def _columns_of(path: str, opener: Callable[[str], BinaryIO], case_sensitive: bool) -> list[dict]:
     """Catalog rows of one file.
 
     Reading bytes may raise: a lost connection fails the task and Spark tries again. Only bytes
-    that are no Parquet footer make the file unreadable.
+    that are no Parquet footer, or columns that Spark cannot read, make the file unreadable.
     """
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-
-    blank = dict.fromkeys(("fingerprint", "pos", "name", "type", "error"))
+    blank = dict.fromkeys(("fingerprint", "pos", "name", "type", "sql_type", "error"))
     with opener(path) as handle:
         try:
             footer = _footer(handle)
         except ValueError as error:
             return [{**blank, "path": path, "error": str(error)}]
     try:
-        fields = list(pq.read_schema(pa.BufferReader(footer)))
+        fields = _fields(footer, case_sensitive)
     except Exception as error:  # noqa: BLE001 - any decoding failure means a damaged footer
-        return [{**blank, "path": path, "error": str(error).strip()[:500]}]
-    spelled = sorted(f"{f.name}:{f.type}" for f in fields)
+        return [{**blank, "path": path, "error": str(error).strip() or type(error).__name__}]
+    if not fields:
+        return [{**blank, "path": path, "error": "no columns"}]
+    spelled = sorted(f"{name}:{kind}:{sql}" for name, kind, sql in fields)
     fingerprint = hashlib.sha256("\n".join(spelled).encode()).hexdigest()
     return [
-        {"path": path, "fingerprint": fingerprint, "pos": i, "name": f.name, "type": str(f.type), "error": None}
-        for i, f in enumerate(fields)
+        {"path": path, "fingerprint": fingerprint, "pos": i, "name": name, "type": kind, "sql_type": sql, "error": None}
+        for i, (name, kind, sql) in enumerate(fields)
     ]
 
 
 def schema_catalog(files: DataFrame, opener: Callable[[str], BinaryIO] = open_with_arrow) -> DataFrame:
     """One row per file and column, read from the footers on the executors.
 
-    An unreadable file gives one row with ``error``. ``opener`` may be replaced for file systems
-    that Arrow does not know. Listing yields about one task per file; the paths are spread over as
-    many tasks as there are cores, so that the catalog does not end up in as many tiny files.
+    An unreadable file gives one row with ``error``: no Parquet footer, or columns that Spark cannot
+    read. ``opener`` may be replaced for file systems that Arrow does not know. The paths are spread
+    over as many tasks as there are cores.
     """
     cores = files.sparkSession.sparkContext.defaultParallelism
+    case_sensitive = files.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
 
     def harvest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [row for path in batch["path"] for row in _columns_of(path, opener)]
-            names = ["path", "fingerprint", "pos", "name", "type", "error"]
+            rows = [row for path in batch["path"] for row in _columns_of(path, opener, case_sensitive)]
+            names = ["path", "fingerprint", "pos", "name", "type", "sql_type", "error"]
             frame = pd.DataFrame(rows, columns=names)
             yield frame.astype({"pos": "Int32"})
 
@@ -160,16 +220,23 @@ def _literal_path(path: str) -> str:
 def scan_groups(spark: SparkSession, good: DataFrame) -> list[SchemaGroup]:
     """One scan per distinct schema, so the plan grows with the schemas and not with the files.
 
-    Column types can differ between files, which a single scan cannot read. The paths reach the
-    driver, one string per file, because Spark's own file listing is kept there too.
+    Column types can differ between files, which a single scan cannot read. The schema comes from the
+    catalog, so no footer is read again to infer it. The paths reach the driver, one string per
+    file, because Spark's own file listing is kept there too.
     """
-    names: dict[str, tuple[str, ...]] = {}
+    schemas: dict[str, list[StructField]] = {}
     paths: dict[str, list[str]] = {}
     first = good.groupBy("fingerprint").agg(F.min("path").alias("path"))
     for row in (
-        good.join(first, ["fingerprint", "path"], "left_semi").select("fingerprint", "pos", "name").orderBy("fingerprint", "pos").collect()
+        good.join(first, ["fingerprint", "path"], "left_semi")
+        .select("fingerprint", "pos", "name", "sql_type")
+        .orderBy("fingerprint", "pos")
+        .collect()
     ):
-        names[row.fingerprint] = (*names.get(row.fingerprint, ()), row.name)
+        schemas.setdefault(row.fingerprint, []).append(StructField(row.name, DataType.fromDDL(row.sql_type)))
     for row in good.select("fingerprint", "path").where("pos = 0").toLocalIterator():
         paths.setdefault(row.fingerprint, []).append(_literal_path(row.path))
-    return [SchemaGroup(f, columns, spark.read.parquet(*sorted(paths[f]))) for f, columns in names.items()]
+    return [
+        SchemaGroup(f, tuple(x.name for x in fields), spark.read.schema(StructType(fields)).parquet(*sorted(paths[f])))
+        for f, fields in schemas.items()
+    ]

@@ -38,21 +38,48 @@ def read_partition(
 ) -> DataFrame:
     """Read a partitioned table, restricted to the given partition values.
 
-    Partition columns stay text, so month ``01`` does not turn into the number 1. The restriction
-    is a filter on partition columns: other directories are never opened, and the columns remain.
-    A known ``schema`` saves reading it from the files.
+    Partition columns stay text, so month ``01`` does not turn into the number 1. Values of the
+    leading keys name a folder, and only that folder is listed; values of other keys filter on
+    partition columns. The columns remain. A known ``schema`` saves reading it from the files.
     """
-    if schema is None:
-        schema = read_parquet(spark, base).schema
-    text = [StructField(k, StringType()) for k in keys]
-    df = spark.read.schema(StructType([f for f in schema if f.name not in keys] + text)).parquet(base)
-    for key, value in equal.items():
+    for key in equal:
         if key not in keys:
             raise ValueError(f"{key} is not a partition column")
+    leading = []
+    for key in keys:
+        if key not in equal:
+            break
+        leading.append(f"{key}={_escaped(str(equal[key]))}")
+    folder = clean_path(base, *leading)
+    text = [StructField(k, StringType()) for k in keys]
+    try:
+        if schema is None:
+            schema = spark.read.option("basePath", base).parquet(folder).schema
+        df = (
+            spark.read.schema(StructType([f for f in schema if f.name not in keys] + text))
+            .option("basePath", base)
+            .parquet(folder)
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # no such partition: the table without rows, if there is a table
+        return read_parquet(spark, base).limit(0) if leading else _missing(base, error)
+    for key, value in equal.items():
         df = df.where(F.col(key) == value)
     return df
 
 
+def _missing(path: str, error: Exception) -> DataFrame:
+    raise SourceMissing(path) from error
+
+
+def _escaped(value: str) -> str:
+    """A partition value as it stands in a folder's name."""
+    special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
+
+
 def repartition_for_write(df: DataFrame, layout: str | int = "none", keys: Sequence[str] = ()) -> DataFrame:
     """Arrange rows before a partitioned write.
 
@@ -80,8 +107,13 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
 
 
 def bounded_sample(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows, in a given order if one is named."""
-    return (df.orderBy(*order_by) if order_by else df).limit(n)
+    """``n`` rows, the first ones if an order is named, as a small table of its own.
+
+    Without an order partitions are tried a few at a time until there are enough rows, so a large
+    table is not scanned. The rows are fetched once: every use of the sample sees the same ones.
+    """
+    rows = df.orderBy(*order_by).take(n) if order_by else df.take(n)
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

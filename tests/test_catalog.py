@@ -41,7 +41,7 @@ def base(path):
 def test_file_catalog_is_flat_and_case_sensitive(spark, raw):
     rows = c.file_catalog(spark, raw).collect()
     assert sorted(base(r.path) for r in rows) == sorted(
-        ["a.parquet", "b [1] x.parquet", "c.parquet", "text.parquet", "short.parquet", "cut.parquet", "damaged.parquet", "part-0.parquet"]
+        ["a.parquet", "b [1] x.parquet", "c.parquet", "text.parquet", "short.parquet", "cut.parquet", "damaged.parquet", "empty.parquet", "part-0.parquet"]
     )
     sizes = {base(r.path): r.length for r in rows}
     assert sizes["a.parquet"] == os.path.getsize(f"{raw}/a.parquet")
@@ -59,7 +59,7 @@ def test_missing_root(spark, tmp_path):
 
 def test_schema_catalog_and_quarantine(spark, raw):
     good, bad = c.split_quarantine(c.schema_catalog(c.file_catalog(spark, raw)))
-    assert {base(r.path) for r in bad.collect()} == {"text.parquet", "short.parquet", "cut.parquet", "damaged.parquet"}
+    assert {base(r.path) for r in bad.collect()} == {"text.parquet", "short.parquet", "cut.parquet", "damaged.parquet", "empty.parquet"}
     assert all(r.error for r in bad.collect())
     rows = good.collect()
     assert {(base(r.path), r.pos, r.name, r.type) for r in rows} >= {

@@ -132,7 +132,7 @@ def test_profile_with_one_hot_value(spark):
 
 def test_suite_from_profile_accepts_its_own_data(spark, trips, tmp_path):
     df = trips.withColumn("full", F.lit("same"))
-    q.save_suite(q.suite_from_profile(q.profile(df), q.value_sets(df)), str(tmp_path / "suite"))
+    q.save_suite(q.suite_from_profile(q.profile(df), q.value_sets(df, limit=20)), str(tmp_path / "suite"))
     suite = q.load_suite(spark, str(tmp_path / "suite"))
     assert {(e.kind, e.column) for e in suite} == {
         *{("exists", x) for x in df.columns},
@@ -152,9 +152,9 @@ def test_long_texts_are_counted_as_wholes(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     row = q.profile(df, exact=True).first()
     assert (row.n, row.nulls, row["distinct"], row["max"]) == (8, 1, 4, "x" * 500 + "c")
-    assert q.value_sets(df, limit=3).count() == 0
+    assert [r["values"] for r in q.value_sets(df, limit=3).collect()] == [None]
     assert q.value_sets(df, limit=4).first()["values"] == sorted(set(t for t in texts if t))
-    assert q.value_sets(spark.range(3)).count() == 0
+    assert q.value_sets(spark.range(3), limit=20).count() == 0
 
 
 def test_running_total_and_ordinal(spark):
