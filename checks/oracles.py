@@ -264,8 +264,6 @@ TABLE_LIST = (
 MONTHS_OF_ORDERS = "SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month FROM orders"
 
 # A mean of doubles rounded as decimal text, half up.
-ROUNDED = "CAST(round(CAST(CAST(avg({0}) AS VARCHAR) AS DECIMAL(38, 15)), 2) AS DOUBLE)"
-
 ORACLES = {
     "q_hourly_mean": f"""
         SELECT CAST(ts AS DATE) AS dia, CAST(hour(ts) AS INTEGER) AS hora, {exact_mean("value")} AS media_passageiros
@@ -401,10 +399,10 @@ ORACLES = {
     "q_silver_report": f"WITH {RAW} {trip_report('yellow', '1996-01-01', '1999-01-01')}",
     "q_marts": f"""
         WITH {RAW}
-        SELECT 'monthly' AS mart, year || '-' || month AS key, {ROUNDED.format("total_amount")} AS mean FROM yellow GROUP BY 1, 2
+        SELECT 'monthly' AS mart, year || '-' || month AS key, {exact_mean("total_amount")} AS mean FROM yellow GROUP BY 1, 2
         UNION ALL
         SELECT 'hourly', CAST(CAST(tpep_pickup_datetime AS DATE) AS VARCHAR) || ' ' || hour(tpep_pickup_datetime),
-               {ROUNDED.format("passenger_count")} FROM yellow GROUP BY 1, 2""",
+               {exact_mean("passenger_count")} FROM yellow GROUP BY 1, 2""",
     "q_links": f"WITH {LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(href) AS href FROM links",
     "q_links_suffix": f"""
         WITH {LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(href) AS href FROM links
@@ -419,4 +417,53 @@ ORACLES = {
     "q_links_abs": f"""
         WITH {LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos,
           regexp_extract(url, '^https?://[^/?#]*') || trim(href) AS abs_url, CAST(NULL AS VARCHAR) AS period FROM links""",
+    "q_links_forms": """
+        WITH base AS (SELECT page_id, url, regexp_extract(url, '^(https?)://', 1) AS scheme,
+          regexp_extract(url, '^https?://[^/?#]*') AS site FROM pages)
+        SELECT page_id,
+          CASE page_id % 9 WHEN 0 THEN 'x/y' WHEN 1 THEN '../up' WHEN 2 THEN './here' WHEN 3 THEN '?q=1' WHEN 4 THEN '#frag'
+            WHEN 5 THEN '//other.example.org/z' WHEN 6 THEN 'https://z.example/a?b#c' WHEN 7 THEN '/a/../b'
+            ELSE 'mailto:a@b.example' END AS href,
+          CASE page_id % 9 WHEN 0 THEN site || '/d/e/x/y' WHEN 1 THEN site || '/d/up' WHEN 2 THEN site || '/d/e/here'
+            WHEN 3 THEN site || '/d/e/f?q=1' WHEN 4 THEN site || '/d/e/f?old=1#frag' WHEN 5 THEN scheme || '://other.example.org/z'
+            WHEN 6 THEN 'https://z.example/a?b#c' WHEN 7 THEN site || '/b' ELSE 'mailto:a@b.example' END AS abs_url
+        FROM base""",
+    "q_links_references": """
+        SELECT page_id, '/i?a&b=' || chr(CAST(page_id % 1000 + 256 AS INTEGER)) || 'é&' || chr(128512) || chr(65533) || '&bogus;' AS href
+        FROM pages""",
+    "q_cast_whole": """
+        SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS TINYINT) AS as_tinyint, CAST(l_linenumber AS SMALLINT) AS as_smallint,
+          l_linenumber AS as_int, CAST(l_linenumber AS BIGINT) AS as_bigint, l_orderkey AS key_long,
+          TRY_CAST(9223372036854775000::HUGEINT + l_linenumber + 803 AS BIGINT) AS near_end FROM lineitem""",
+    "q_mean_odd_values": """
+        SELECT user_id % 5 AS g, CASE WHEN user_id % 5 = 0 AND bool_or(event_id % 97 = 0) THEN 'nan'
+          WHEN user_id % 5 = 1 AND bool_or(event_id % 89 = 0) THEN 'inf' ELSE 'number' END AS kind FROM events GROUP BY user_id % 5""",
+    "q_float_suite_gate": """
+        SELECT expectation, "column", 0 AS violations, true AS success
+        FROM (VALUES ('exists'), ('not_null'), ('between')) AS e(expectation), (VALUES ('single'), ('exact'), ('whole')) AS c("column"),
+             (SELECT 1 FROM orders HAVING count(*) > 0)""",
+    "q_sample_checked": """
+        WITH s AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 500)
+        SELECT 'between' AS expectation, 'o_totalprice' AS "column", count(o_totalprice) AS evaluated,
+          count(*) FILTER (WHERE o_totalprice > 100000) AS violations, count(*) FILTER (WHERE o_totalprice > 100000) = 0 AS success FROM s
+        UNION ALL SELECT 'not_null', 'o_custkey', count(*), count(*) - count(o_custkey), count(*) = count(o_custkey) FROM s""",
+    "q_profile_sketch_bounds": """
+        SELECT column_name AS "column", true AS counts_equal, true AS distinct_near, true AS quantiles_near
+        FROM duckdb_columns() WHERE table_name = 'orders'""",
+    "q_mapping_json": f"{SPELLING} SELECT standard, array_to_string(variants, '|') AS variants FROM mapping",
+    "q_report_roundtrip": """
+        SELECT 'exists' AS expectation, 'o_orderkey' AS "column", 0 AS evaluated, 0 AS violations, true AS success
+        UNION ALL SELECT 'between', 'o_totalprice', count(o_totalprice), count(*) FILTER (WHERE o_totalprice > 100000),
+          count(*) FILTER (WHERE o_totalprice > 100000) = 0 FROM orders""",
+    "q_guards": """
+        SELECT 'empty: all orders' AS guard, count(*) = 0 AS answer FROM orders
+        UNION ALL SELECT 'empty: orders below zero', count(*) = 0 FROM orders WHERE o_totalprice < 0
+        UNION ALL SELECT 'missing: orders', count(*) = 0 FROM duckdb_columns() WHERE table_name = 'orders'
+        UNION ALL SELECT 'missing: other', count(*) = 0 FROM duckdb_columns() WHERE table_name = 'no_such_table'
+        UNION ALL SELECT 'nothing mapped', true
+        UNION ALL SELECT 'column not there', count(*) = 0 FROM duckdb_columns() WHERE table_name = 'orders' AND column_name = 'pickup'""",
+    "q_skipped_groups": """
+        SELECT 'o_orderkey' AS first_column, 'conformed' AS state, count(*) AS n FROM orders
+        UNION ALL SELECT column_name, 'skipped', 0 FROM duckdb_columns() WHERE table_name IN ('nation', 'region') AND column_index = 1""",
+    "q_preview": "SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey LIMIT 5",
 }

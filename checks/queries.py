@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sedimenta import presets
 from sedimenta.functions.dates import date_ref
 from sedimenta.functions.names import norm_name
+from sedimenta.functions.numbers import lenient_cast, rounded_mean
 from sedimenta.operators import conform as c
 from sedimenta.operators import layers, links, mapping, marts, quality
 from sedimenta.operators.ranking import with_ordinal
@@ -540,6 +541,147 @@ def links_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "pos", "abs_url", "period")
 
 
+#: Hrefs of every kind that an address can be taken from, by the page's number modulo their count.
+FORMS = ("x/y", "../up", "./here", "?q=1", "#frag", "//other.example.org/z", "https://z.example/a?b#c", "/a/../b", "mailto:a@b.example")
+
+
+def links_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absolute addresses of relative, query, fragment and host links, on a base below a folder."""
+    form = F.element_at(F.array(*map(F.lit, FORMS)), (F.col("page_id") % len(FORMS) + 1).cast("int"))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.concat(F.regexp_extract("url", "^https?://[^/?#]*", 0), F.lit("/d/e/f?old=1")).alias("url"),
+        F.concat(F.lit('<p><a href="'), form, F.lit('">')).alias("html"),
+    )
+    return links.extract_links(pages).select("page_id", "href", "abs_url")
+
+
+def links_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links whose addresses hold long numeric and named character references."""
+    zeros = F.repeat(F.lit("0"), (F.col("page_id") % 12).cast("int"))
+    letter = F.col("page_id") % 1000 + 256
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        "url",
+        F.concat(
+            F.lit('<a href="/i?a&#'), zeros, F.lit("38;b=&#x"), zeros, F.hex(letter), F.lit(";&eacute;&amp;&#x1F600;&#xD800;&bogus;"),
+            F.lit('">x</a>'),
+        ).alias("html"),
+    )
+    return links.extract_links(pages).select("page_id", "href")
+
+
+def cast_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers written with a fraction, in every whole-number type."""
+    items = table(spark, sf_dir, "lineitem")
+    key, line = F.concat("l_orderkey", F.lit(".0")), F.concat("l_linenumber", F.lit(".5"))
+    far = F.concat(F.lit("9223372036854775"), F.lpad((F.col("l_linenumber") + 803).cast("string"), 3, "0"))
+    casts = {f"as_{kind}": lenient_cast(line, kind) for kind in ("tinyint", "smallint", "int", "bigint")}
+    return items.select("l_orderkey", "l_linenumber").withColumns(
+        casts | {"key_long": lenient_cast(key, "long"), "near_end": lenient_cast(far, "bigint")}
+    )
+
+
+def mean_odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of groups with NaN, infinite and huge values next to plain ones."""
+    value = (
+        F.when((F.col("user_id") % 5 == 0) & (F.col("event_id") % 97 == 0), F.lit(float("nan")))
+        .when((F.col("user_id") % 5 == 1) & (F.col("event_id") % 89 == 0), F.lit(float("inf")))
+        .otherwise(F.col("value"))
+    )
+    events = table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("g"), value.alias("v"))
+    mean = events.groupBy("g").agg(rounded_mean(F.col("v"), 2, 2).alias("mean"))
+    return mean.select("g", F.when(F.isnan("mean"), "nan").when(F.col("mean") == F.lit(float("inf")), "inf").otherwise("number").alias("kind"))
+
+
+def float_suite_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data meets the suite made from its own profile, also in single precision and decimals."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_totalprice").cast("float").alias("single"),
+        F.col("o_totalprice").cast("decimal(20,4)").alias("exact"),
+        F.col("o_orderkey").cast("int").alias("whole"),
+    )
+    suite = quality.as_expectations(quality.suite_from_profile(quality.profile(orders)))
+    return quality.quality_report(orders, suite).select("expectation", "column", "violations", "success")
+
+
+def sample_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A suite on the first rows in an order, with computed violations."""
+    sample = lake.bounded_sample(table(spark, sf_dir, "orders"), 500, ["o_orderkey"])
+    suite = [quality.between("o_totalprice", hi=100_000.0), quality.not_null("o_custkey")]
+    return quality.quality_report(sample, suite)
+
+
+def profile_sketch_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per column: is the sketch within its stated error of the exact profile?"""
+    orders = table(spark, sf_dir, "orders")
+    sketch, exact = quality.profile(orders), quality.profile(orders, exact=True)
+    near = sketch.alias("s").join(exact.alias("e"), "column")
+    apart = F.abs(F.col("s.distinct") - F.col("e.distinct"))
+    spread = F.col("e.max").try_cast("double") - F.col("e.min").try_cast("double")
+    close = [F.abs(F.col(f"s.{q}") - F.col(f"e.{q}")) <= spread * 0.01 for q in quality.PROFILE_COLUMNS[-3:]]
+    return near.select(
+        "column",
+        ((F.col("s.n") == F.col("e.n")) & (F.col("s.nulls") == F.col("e.nulls"))).alias("counts_equal"),
+        (apart <= F.col("e.distinct") * 0.15).alias("distinct_near"),
+        F.coalesce(close[0] & close[1] & close[2], F.lit(True)).alias("quantiles_near"),
+    )
+
+
+def mapping_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping written as JSON and read back."""
+    path = scratch_path(spark, "mapping-json")
+    mapping.write_mapping(_spelling_mapping(spark, sf_dir), path, "json")
+    return spark.read.json(path).select("standard", F.array_join("variants", "|").alias("variants"))
+
+
+def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality report written as JSON and read back."""
+    path = scratch_path(spark, "report")
+    suite = [quality.exists("o_orderkey"), quality.between("o_totalprice", hi=100_000.0)]
+    quality.write_report(quality.quality_report(table(spark, sf_dir, "orders"), suite), path, "json")
+    return spark.read.schema(quality.REPORT_SCHEMA).json(path)
+
+
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards say about the given tables: empty input, missing path, nothing mapped, missing column."""
+    orders = table(spark, sf_dir, "orders")
+
+    def raises(kind: type[Exception], call) -> bool:  # noqa: ANN001
+        try:
+            call()
+        except kind:
+            return True
+        return False
+
+    missing = f"{sf_dir.rstrip('/')}/no_such_table.parquet"
+    rows = [
+        ("empty: all orders", lake.is_empty(orders)),
+        ("empty: orders below zero", lake.is_empty(orders.where("o_totalprice < 0"))),
+        ("missing: orders", raises(catalog.SourceMissing, lambda: lake.read_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet"))),
+        ("missing: other", raises(catalog.SourceMissing, lambda: lake.read_parquet(spark, missing))),
+        ("nothing mapped", raises(ValueError, lambda: c.conform_union([]))),
+        ("column not there", raises(ValueError, lambda: layers.require(orders, ["o_orderkey", "pickup"]))),
+    ]
+    return spark.createDataFrame(rows, "guard string, answer boolean")
+
+
+def skipped_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemas without a mapped column are skipped, and named by their columns; the others are conformed."""
+    good, _ = jobs.harvest(spark, sf_dir, "{orders,nation,region}.parquet")
+    groups = catalog.scan_groups(spark, good)
+    df, skipped = c.conform_groups(groups, {"order_key": ("o_orderkey",)}, c.ConformSpec())
+    names = [(g.columns[0], "skipped", 0) for g in groups if g.fingerprint in skipped]
+    done = df.select(F.lit("o_orderkey").alias("first_column"), F.lit("conformed").alias("state"), "order_key")
+    counted = done.groupBy("first_column", "state").agg(F.count("order_key").alias("n"))
+    return counted.unionByName(spark.createDataFrame(names, "first_column string, state string, n long"))
+
+
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of an ordered table."""
+    return lake.preview(table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey", "n_name"))
+
+
 QUERIES = {
     "q_hourly_mean": hourly_mean,
     "q_monthly_mean": monthly_mean,
@@ -592,4 +734,16 @@ QUERIES = {
     "q_links_suffix": links_suffix,
     "q_links_period": links_period,
     "q_links_abs": links_abs,
+    "q_links_forms": links_forms,
+    "q_links_references": links_references,
+    "q_cast_whole": cast_whole,
+    "q_mean_odd_values": mean_odd_values,
+    "q_float_suite_gate": float_suite_gate,
+    "q_sample_checked": sample_checked,
+    "q_profile_sketch_bounds": profile_sketch_bounds,
+    "q_mapping_json": mapping_json,
+    "q_report_roundtrip": report_roundtrip,
+    "q_guards": guards,
+    "q_skipped_groups": skipped_groups,
+    "q_preview": preview,
 }
