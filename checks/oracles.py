@@ -131,7 +131,7 @@ def suite_rows() -> str:
 
 
 def norm(text: str) -> str:
-    return f"regexp_replace(lower({text}), '[^a-z0-9]', '', 'g')"
+    return f"coalesce(nullif(regexp_replace(lower({text}), '[^a-z0-9]', '', 'g'), ''), lower(trim({text})))"
 
 
 LINKS = """

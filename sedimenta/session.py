@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -27,20 +28,23 @@ def ship(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder: on a cluster such a
-    folder would vanish with the machine that holds it.
+    Only a local-mode session may fall back to a temporary folder, which goes when Python ends: on a
+    cluster such a folder would vanish with the machine that holds it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_root(spark.sparkContext.applicationId)
 
 
 @lru_cache
 def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix="sedimenta-")
+    folder = tempfile.mkdtemp(prefix="sedimenta-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
