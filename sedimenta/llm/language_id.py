@@ -17,7 +17,6 @@ each. Empty tables give empty results. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import string
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -38,7 +37,6 @@ UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBEDDING = 8
-_LETTER = re.compile(r"[^\W\d_]")
 _PAD, _OTHER, _DIGIT, _ALPHA = 0, 1, 2, 3
 _CHUNK = 256
 
@@ -243,7 +241,7 @@ def _chunks(texts: Texts):  # noqa: ANN202
     """(document, windows, bytes in each) for all windows of all texts with a letter, some windows at a time."""
     owners, windows, sizes, held = [], [], [], 0
     for at, text in enumerate(texts):
-        if not text or not _LETTER.search(text):
+        if not text or not any(map(str.isalpha, text)):
             continue
         data = text.encode("utf-8", "replace")
         for start in range(0, len(data), WINDOW * _CHUNK):

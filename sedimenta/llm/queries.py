@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.llm import (
@@ -23,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of one of the public vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,7 +50,7 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +63,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
