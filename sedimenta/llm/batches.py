@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 
 from sedimenta.session import ship
 
+#: Documents turned into Python objects at a time.
+ROWS = 1000
+
 Texts = list[str | None]
 #: Output columns of a batch, and which document each row belongs to (None: one row per document, in order).
 Made = tuple[Sequence[int] | None, list[pa.Array]]
@@ -33,13 +36,15 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         names = [f.name for f in kept] + [c.strip().split()[0] for c in _top_level(columns)]
-        for batch in batches:
-            owners, made = work(batch.column(1).to_pylist())
-            carried = [batch.column(i) for i in range(batch.num_columns) if i != 1]
-            if owners is not None:
-                rows = pa.array(owners, pa.int64())
-                carried = [c.take(rows) for c in carried]
-            yield pa.RecordBatch.from_arrays(carried + made, names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                owners, made = work(batch.column(1).to_pylist())
+                carried = [batch.column(i) for i in range(batch.num_columns) if i != 1]
+                if owners is not None:
+                    rows = pa.array(owners, pa.int64())
+                    carried = [c.take(rows) for c in carried]
+                yield pa.RecordBatch.from_arrays(carried + made, names)
 
     before = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     return plain.mapInArrow(run, f"{before}, {columns}")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.batches import Made, Texts, map_texts
-from sedimenta.llm.text import WORD_RE, blank_words, lower_ascii, lowered
+from sedimenta.llm.text import blank_words, lower_ascii, lowered_bytes
 from sedimenta.session import materialize, ship
 
 ORDER = 3
@@ -47,20 +47,26 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % FOLDS == HELD_OUT
 
 
+class Numbers(dict):
+    """Numbers of the frequent words, as UTF-8; -1 for any other."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 @dataclass(frozen=True)
 class Automaton:
-    """``arcs[state << 20 | word]`` is (log10 weight, next state); state 0 is the root, where all frequent words have arcs."""
+    """``arcs[state][word]`` is (log10 weight, next state); state 0 is the root, where all frequent words have arcs."""
 
-    numbers: dict[str, int]
     unigrams: list[float]
-    arcs: dict[int, tuple[float, int]]
+    arcs: list[dict[int, tuple[float, int]]]
     failure: list[int]
     weight: list[float]
     start: int
 
     def score(self, words: list[int]) -> float:
         """Log10 probability of a numbered text; words without a number (-1) count as one here."""
-        arcs, failure, weight = self.arcs.get, self.failure, self.weight
+        arcs, failure, weight = self.arcs, self.failure, self.weight
         state, total = self.start, 0.0
         for word in words:
             if word < 0:
@@ -68,23 +74,20 @@ class Automaton:
                     total += weight[state]
                     state = failure[state]
                 continue
-            arc = arcs(state << _BITS | word)
-            while arc is None:
+            while (arc := arcs[state].get(word)) is None:
                 total += weight[state]
                 state = failure[state]
-                arc = arcs(state << _BITS | word)
             total += arc[0]
             state = arc[1]
         return total
 
 
 def build_automaton(
-    words: list[tuple[str, int]], grams: list[dict[int, int]], tokens: int, distinct: int, documents: int
+    words: list[int], grams: list[dict[int, int]], tokens: int, distinct: int, documents: int
 ) -> Automaton:
-    """From frequent words with counts, frequent n-grams of each order from two on, and the totals."""
+    """From the counts of frequent words, frequent n-grams of each order from two on, and the totals."""
     floor = tokens + distinct + 1
-    numbers = {word: _FIRST + i for i, (word, _) in enumerate(words)}
-    counts = [documents, documents, *(n for _, n in words)]
+    counts = [documents, documents, *words]
     unigrams = [math.log10((n + 1) / floor) for n in counts]
     # states: 0 is the root, each history with arcs has one
     states: dict[tuple[int, int], int] = {(0, 0): 0}
@@ -102,7 +105,8 @@ def build_automaton(
         return 0
 
     longest = len(grams)
-    arcs = {w: (unigrams[w], state_of(min(1, longest), w)) for w in range(_END, len(counts))}
+    arcs: list[dict[int, tuple[float, int]]] = [{} for _ in states]
+    arcs[0] = {w: (unigrams[w], state_of(min(1, longest), w)) for w in range(_END, len(counts))}
     kept, lower = [0.0] * len(states), [0.0] * len(states)
     failure, weight = [0] * len(states), [0.0] * len(states)
     for (length, history), state in states.items():
@@ -112,7 +116,7 @@ def build_automaton(
     def backed(state: int, word: int) -> float:
         """Probability of a word behind a shorter history, whose weights are known already."""
         total = 0.0
-        while (arc := arcs.get(state << _BITS | word)) is None:
+        while (arc := arcs[state].get(word)) is None:
             total += weight[state]
             state = failure[state]
         return 10 ** (total + arc[0])
@@ -126,17 +130,11 @@ def build_automaton(
             share = (n - DISCOUNT) / seen
             kept[state] += share
             lower[state] += backed(failure[state], word)
-            arcs[state << _BITS | word] = (math.log10(share), state_of(min(length + 1, longest), gram))
+            arcs[state][word] = (math.log10(share), state_of(min(length + 1, longest), gram))
         for (size, _), state in states.items():
             if size == length:
                 weight[state] = math.log10(max(1 - kept[state], 1e-12) / max(1 - lower[state], 1e-12))
-    return Automaton(numbers, unigrams, arcs, failure, weight, state_of(min(1, longest), _START))
-
-
-def _numbered(text: str | None, numbers: dict[str, int]) -> tuple[list[str], list[int]]:
-    words = WORD_RE.findall(lowered(text)) if text else []
-    get = numbers.get
-    return words, [get(w, -1) for w in words]
+    return Automaton(unigrams, arcs, failure, weight, state_of(min(1, longest), _START))
 
 
 def _candidates(sequence: np.ndarray, order: int, frequent: list[np.ndarray]) -> np.ndarray:
@@ -161,7 +159,7 @@ def _count_grams(training: DataFrame, numbers, order: int, frequent: list[np.nda
         for batch in batches:
             found = []
             for text in batch.column(0).to_pylist():
-                sequence = np.array([_START, *_numbered(text, table)[1], _END], dtype=np.int64)
+                sequence = np.array([_START, *map(table.__getitem__, lowered_bytes(text).split()), _END], dtype=np.int64)
                 if len(sequence) >= order:
                     found.append(_candidates(sequence, order, frequent))
             grams, times = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
@@ -197,34 +195,39 @@ def score_documents(
     least = max(frequent * tokens, LEAST)
     table = counts.filter(F.col("n") >= least).toArrow()  # at most 1 / FREQUENT rows
     words = sorted(zip(table["word"].to_pylist(), table["n"].to_pylist()))
-    numbers = spark.sparkContext.broadcast({w: _FIRST + i for i, (w, _) in enumerate(words)})
+    numbers = spark.sparkContext.broadcast(Numbers({w.encode(): _FIRST + i for i, (w, _) in enumerate(words)}))
     grams: list[dict[int, int]] = []
     for size in range(2, order + 1):
         known = [np.array(sorted(table), dtype=np.int64) for table in grams]
         grams.append(_count_grams(training, numbers, size, known, least))
-    automaton = spark.sparkContext.broadcast(build_automaton(words, grams, tokens, distinct, documents))
-    scored = materialize(_traversed(plain, automaton).withColumn("row", F.monotonically_increasing_id()), "traversed")
+    automaton = spark.sparkContext.broadcast(build_automaton([n for _, n in words], grams, tokens, distinct, documents))
+    scored = materialize(_traversed(plain, numbers, automaton).withColumn("row", F.monotonically_increasing_id()), "traversed")
     return _with_rare_words(scored, counts, tokens, distinct)
 
 
-def _traversed(plain: DataFrame, automaton) -> DataFrame:  # noqa: ANN001
+def _traversed(plain: DataFrame, numbers, automaton) -> DataFrame:  # noqa: ANN001
     """One traversal per text; the words without an arc are left over, with how often each occurs."""
 
     def prepare() -> Callable[[Texts], Made]:
-        model: Automaton = automaton.value
-        numbers, unigrams = model.numbers, model.unigrams
+        number, score_of = numbers.value.__getitem__, automaton.value.score
+        unigrams = np.array([*automaton.value.unigrams, 0.0])  # the last one is for number -1
 
         def work(texts: Texts) -> Made:
-            sizes, base, score, rare = [], [], [], []
+            sizes, base, score = [], [], []
+            ends, rare, times = [0], [], []
             for content in texts:
-                words, ids = _numbered(content, numbers)
-                rare.append(list(Counter(w for w, i in zip(words, ids) if i < 0).items()))
-                ids.append(_END)
+                words = lowered_bytes(content).split()
+                ids = [*map(number, words), _END]
                 sizes.append(len(ids))
-                base.append(math.fsum(unigrams[i] for i in ids if i >= 0))
-                score.append(model.score(ids))
-            kind = pa.map_(pa.string(), pa.int64())
-            return None, [pa.array(sizes), pa.array(base), pa.array(score), pa.array(rare, kind)]
+                base.append(float(unigrams[ids].sum()))
+                score.append(score_of(ids))
+                left = Counter([w for w, i in zip(words, ids) if i < 0])
+                rare.extend(left)
+                times.extend(left.values())
+                ends.append(len(rare))
+            words_left = pa.array(rare, pa.binary()).cast(pa.string())
+            left_over = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), words_left, pa.array(times, pa.int64()))
+            return None, [pa.array(sizes, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), left_over]
 
         return work
 

@@ -17,16 +17,15 @@ PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NOT_PLAIN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 WORD_RE = re.compile(WORD)
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
-def lowered(text: str) -> str:
-    """A-Z in lower case; other letters stay as they are."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def lowered_bytes(text: str | None) -> bytes:
+    """A text in UTF-8 with A-Z in lower case; ``split()`` of it gives its words, since bytes know ASCII blanks only."""
+    return text.encode("utf-8", "surrogatepass").lower() if text else b""
 
 
 def lower_ascii(text: Column) -> Column:
-    """``lowered`` as an expression; ``lower`` is the faster way where it means the same."""
+    """A-Z in lower case, other letters as they are; ``lower`` is the faster way where it means the same."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
         F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
     )
