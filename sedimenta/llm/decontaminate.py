@@ -37,14 +37,16 @@ _BUCKET = 16
 
 
 def _documents(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc_id``, ``mark`` (tells texts of one id apart) and ``words``."""
+    """``doc_id``, ``mark`` (tells texts of one id apart) and ``text``."""
     return docs.select(
-        docs[key].alias("doc_id"),
-        F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("mark"),
-        plain_words(docs[text]).alias("words"),
+        docs[key].alias("doc_id"), F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("mark"), docs[text].alias("text")
     )
 
 
+def _split(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", "mark", plain_words(F.col("text")).alias("words"))
+
+
 def test_windows(items: DataFrame, key: str = "item_id", text: str = "text", n: int = N) -> DataFrame:
     """(item_id, phrase) of every window; words of a phrase are joined with spaces."""
     words = F.col("words")
@@ -68,7 +70,8 @@ class PhraseIndex:
         n: int = N,
         anchors: int = ANCHORS,
     ) -> None:
-        self.docs = _documents(docs, key, text)
+        self.texts = _documents(docs, key, text)
+        self.docs = _split(self.texts)
         self.items = materialize(test_windows(items, item_key, item_text, n), "test-windows")
         distinct = self.items.select("phrase").distinct()
         self.windows = materialize(
@@ -139,14 +142,17 @@ class PhraseIndex:
             .groupBy("doc_id", "mark")
             .agg(F.collect_list(hit).alias("hits"))  # bounded by the places of one document
         )
-        texts = self.docs
+        # texts move, not their words, which are several times as large
+        texts = self.texts
         same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["mark"] == wanted["mark"])
-        checked = texts.join(wanted, same).select(
-            texts["doc_id"],
-            texts["mark"],
+        found = texts.join(wanted, same).select(texts["doc_id"], texts["mark"], "text", "hits")
+        split = found.withColumn("words", plain_words(F.col("text")))
+        checked = split.select(
+            "doc_id",
+            "mark",
             F.filter(
                 "hits",
-                lambda h: F.array_join(F.slice(texts["words"], h["start"] + 1, h["length"]), " ") == h["phrase"],
+                lambda h: F.array_join(F.slice("words", h["start"] + 1, h["length"]), " ") == h["phrase"],
             ).alias("hits"),
         )
         return checked.filter(F.size("hits") > 0).dropDuplicates(["doc_id", "mark"])
