@@ -10,10 +10,10 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 #: Chunks remembered per worker process; beyond it the memory starts anew. It bounds memory only.
-MEMORY = 300_000
+MEMORY = 200_000
 _SPACE_IN_BLANKS = re.compile(r"\s\x20\s|\s\x20\Z")
 # Fixed value: how the tokenizer cuts a text into pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -31,7 +31,6 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
@@ -43,9 +42,16 @@ class Encoder:
             if token not in self.special
         }
         self.fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.exact = Tokenizer.from_file(path)
+        self.path = path
         self.plain, self.spaced = _Memory(self, ""), _Memory(self, " ")
 
+    @cached_property
+    def exact(self):  # noqa: ANN201
+        """The tokenizer library's own; only texts with a special token's string need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> list[int]:
         if any(mark in text for mark in self.special):
             return self.exact.encode(text, add_special_tokens=False).ids
