@@ -1,15 +1,19 @@
-"""Language-model scores from a weighted backoff automaton.
+"""Language-model scores with backoff, from the counts of all n-grams.
 
-Counting covers all training documents. Words are counted by built-in aggregation. Longer n-grams are
-counted order by order: a candidate's shorter n-grams must all be frequent, where frequent means at least
-FREQUENT of all training tokens. At most 1 / FREQUENT n-grams of an order can be frequent, at any corpus
-size; that bound is why the automaton may be sent to every task.
+The model: an n-gram of two or three words that occurs at least LEAST times in the training documents has its
+discounted share of its history's count; any other backs off to the next shorter history, with the weight that makes
+probabilities sum to one. Single words have add-one shares. LEAST is fixed, so the n-grams kept grow with the corpus.
 
-The automaton: a state per frequent history, an arc per frequent n-gram with its discounted log
-probability, and a failure arc to the next shorter history with the weight that makes probabilities sum
-to one. Texts are read once, from left to right; the state is carried from token to token. Words that
-are not frequent have no arcs beyond the root. Their unigram weights, from the complete count table,
-which may be of any size, are joined by word and added.
+Documents are read once and packed, as word numbers, into slices of about SLICE_BYTES. A slice counts its distinct
+n-grams and sends the counts to buckets, which are ranges of keys; a bucket adds them up and answers each slice with the
+totals. Words and pairs go first; triples only follow if both of their pairs occur LEAST times, as the others cannot. The
+first slice of an n-gram adds its share to its history, once over all; histories are summed and answered likewise, and
+each slice scores its documents from complete counts and weights. Slices and buckets grow in number with the corpus, so
+no task holds more of a larger one. An n-gram comes at most once from a slice, so a frequent one makes no bucket hot.
+Nothing is broadcast.
+
+Keys are hashes of 62 bits besides the order. Among a billion distinct n-grams of an order, two share a key with a
+chance of about 1 in 10; each such pair would be counted as one n-gram.
 
 Defined results: a null text is empty, that is one end token. A null id counts as empty text when documents are
 split, so it is for training. Repeated rows count, and are scored, as often as they occur. An empty table gives
@@ -19,26 +23,32 @@ an empty result; without training documents every token has probability one. Oth
 from __future__ import annotations
 
 import math
-from collections import Counter
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.batches import Made, Texts, map_texts
-from sedimenta.llm.text import blank_words, lower_ascii, lowered_bytes
-from sedimenta.session import materialize, ship
+from sedimenta.llm.text import lowered_bytes
+from sedimenta.session import materialize, materialize_counting, ship
 
-ORDER = 3
-#: Least share of the training tokens an n-gram needs for an arc of its own, and the least count.
-FREQUENT = 2e-6
+#: Least count of an n-gram with a share of its own.
 LEAST = 2
 DISCOUNT = 0.5
 FOLDS, HELD_OUT = 7, 2
-# Word numbers: 20 bits each, so that three fit a long and all frequent words fit.
+#: Text of a slice, and tokens whose n-grams of one order go to one bucket.
+SLICE_BYTES, BUCKET_TOKENS = 8 << 20, 2 << 20
+ROW_BYTES = 16
+# Word numbers of the automaton: 20 bits each, so that three fit a long.
 _BITS = 20
 _START, _END, _FIRST = 0, 1, 2
 
@@ -47,16 +57,12 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % FOLDS == HELD_OUT
 
 
-class Numbers(dict):
-    """Numbers of the frequent words, as UTF-8; -1 for any other."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 @dataclass(frozen=True)
 class Automaton:
-    """``arcs[state][word]`` is (log10 weight, next state); state 0 is the root, where all frequent words have arcs."""
+    """The same model in one piece, which the slices are tested against.
+
+    ``arcs[state][word]`` is (log10 weight, next state); state 0 is the root, where all frequent words have arcs.
+    """
 
     unigrams: list[float]
     arcs: list[dict[int, tuple[float, int]]]
@@ -137,126 +143,327 @@ def build_automaton(
     return Automaton(unigrams, arcs, failure, weight, state_of(min(1, longest), _START))
 
 
-def _candidates(sequence: np.ndarray, order: int, frequent: list[np.ndarray]) -> np.ndarray:
-    """The n-grams of a numbered text whose two shorter n-grams are frequent."""
-    grams = sequence
-    ok = sequence >= 0
-    for size in range(2, order + 1):
-        grams = (grams[:-1] << _BITS) | sequence[size - 1 :]
-        ok = ok[:-1] & ok[1:]
-        if size < order:
-            known = frequent[size - 2]
-            at = np.searchsorted(known, grams)
-            ok = ok & (known[np.minimum(at, len(known) - 1)] == grams if len(known) else False)
-    return grams[ok]
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash of two hashes."""
+    x = left * np.uint64(0x9E3779B97F4A7C15) + right
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _count_grams(training: DataFrame, numbers, order: int, frequent: list[np.ndarray], least: float) -> dict[int, int]:  # noqa: ANN001
-    """Exact counts of all n-grams of one order that are frequent."""
+def _keyed(hashes: np.ndarray, order: int) -> np.ndarray:
+    return (hashes >> np.uint64(2)) | np.uint64(order << 62)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = numbers.value
+
+def _hashed(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
+
+# No word holds a line feed.
+_START_WORD, _END_WORD = b"\n\n", b"\n"
+_START_KEY = int(_keyed(np.array([_hashed(_START_WORD)], np.uint64), 1)[0])
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second ones and so on: the high bytes are mostly alike."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes))
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def _bounds(bits: int) -> np.ndarray:
+    """Least key of each bucket."""
+    return np.array([o << 62 | b << 62 - bits for o in (1, 2, 3) for b in range(1 << bits)], np.uint64)
+
+
+def _rows(part: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """The slices of a batch, one at a time."""
+    for i in range(part.num_rows):
+        yield part.slice(i, 1).to_pylist()[0]
+
+
+def _slicer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One row per slice: its number, tokens, ids and folds as Arrow, and its texts as word numbers."""
+
+    def made(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+        docs = pa.Table.from_batches(parts)
+        out = pa.BufferOutputStream()
+        carried = docs.select(["doc_id", "held_out"])
+        with pa.ipc.new_stream(out, carried.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_table(carried)
+        sizes, words, hashes = _coded(docs["text"].to_pylist())
+        row = [[number], [len(words)], [out.getvalue().to_pybytes()], [_packed(sizes)], [_packed(words)], [_packed_keys(hashes)]]
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], _SLICE_NAMES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        pending: list[pa.RecordBatch] = []
+        held = 0
         for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
-                sequence = np.array([_START, *map(table.__getitem__, lowered_bytes(text).split()), _END], dtype=np.int64)
-                if len(sequence) >= order:
-                    found.append(_candidates(sequence, order, frequent))
-            grams, times = np.unique(np.concatenate(found or [np.empty(0, np.int64)]), return_counts=True)
-            for at in range(0, len(grams), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(grams[part]), pa.array(times[part])], ["gram", "n"])
-
-    counted = training.select("text").mapInArrow(count, "gram long, n long")
-    rows = counted.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    table = rows.toArrow()  # at most 1 / FREQUENT rows
-    return dict(zip(table["gram"].to_pylist(), table["n"].to_pylist()))
-
-
-def score_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER, frequent: float = FREQUENT
-) -> DataFrame:
+            at = 0
+            for i, length in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), start=1):
+                held += length + ROW_BYTES
+                if held >= size:
+                    yield made([*pending, batch.slice(at, i - at)], number)
+                    pending, held, at, number = [], 0, i, number + 1
+            if at < batch.num_rows:
+                pending.append(batch.slice(at))
+        if pending:
+            yield made(pending, number)
+
+    return run
+
+
+_SLICE_NAMES = ["slice", "tokens", "docs", "sizes", "words", "hashes"]
+_SLICE = "slice long, tokens long, docs binary, sizes binary, words binary, hashes binary"
+
+
+def _coded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, word numbers of all texts with both ends, and the hash of each number; numbers are sorted by hash."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    start, end = numbers[_START_WORD], numbers[_END_WORD]
+    sequence, sizes = array("i"), []
+    for text in texts:
+        words = lowered_bytes(text).split()
+        sizes.append(len(words) + 2)
+        sequence.append(start)
+        sequence.extend(map(numbers.__getitem__, words))
+        sequence.append(end)
+    hashes = np.array([_hashed(w) for w in numbers], np.uint64)
+    by_key = np.argsort(hashes)
+    rank = np.empty(len(by_key), np.int32)
+    rank[by_key] = np.arange(len(by_key))
+    return np.array(sizes, np.int64), rank[np.frombuffer(sequence, np.int32)], hashes[by_key]
+
+
+class _Grams:
+    """The distinct words and pairs of a slice, sorted by key, and where they occur; triples once ``answered``."""
+
+    def __init__(self, row: dict) -> None:
+        self.docs = pa.ipc.open_stream(row["docs"]).read_all()
+        self.sizes, self.words = _unpacked(row["sizes"], np.int64), _unpacked(row["words"], np.int32)
+        hashes = _unpacked_keys(row["hashes"])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        train = ~self.docs["held_out"].to_numpy().astype(bool)
+        self.trained = np.repeat(train, self.sizes).astype(np.float64)
+        later = np.ones(len(self.words), bool)
+        later[self.starts] = False
+        at2 = np.flatnonzero(later)
+        later[self.starts + 1] = False
+        self.at3 = np.flatnonzero(later)
+        self.each = hashes[self.words]
+        self.mixed = np.zeros(len(self.each), np.uint64)
+        self.mixed[1:] = _mixed(self.each[:-1], self.each[1:])
+        two, first, inverse = np.unique(_keyed(self.mixed[at2], 2), return_index=True, return_inverse=True)
+        # which distinct pair ends at each place
+        self.pairs = np.zeros(len(self.each), np.int32)
+        self.pairs[at2] = inverse
+        self.keys = [_keyed(hashes, 1), two]
+        self.counts = [
+            np.bincount(self.words, weights=self.trained, minlength=len(hashes)).astype(np.int64),
+            np.bincount(inverse, weights=self.trained[at2], minlength=len(two)).astype(np.int64),
+        ]
+        self.head2, self.word2 = self.words[at2[first] - 1], self.words[at2[first]]
+
+    def answered(self, answers: np.ndarray, floor: int) -> None:
+        """Take complete counts of words and pairs."""
+        one, two = np.split(answers >> 1, [len(self.keys[0])])
+        self.owned2 = (answers[len(one) :] & 1).astype(bool)
+        self.known, self.word, self.two = one > 0, (one + 1) / floor, two
+        self.has2 = two >= LEAST
+        self.share2 = np.where(self.has2, (two - DISCOUNT) / np.maximum(one[self.head2], 1), 1)
+        #: histories that can have n-grams of their own
+        self.histories = [np.flatnonzero(one >= LEAST), np.flatnonzero(self.has2)]
+        self.at3 = self.at3[self.has2[self.pairs[self.at3 - 1]] & self.has2[self.pairs[self.at3]]]
+        triples = _keyed(_mixed(self.mixed[self.at3 - 1], self.each[self.at3]), 3)
+        self.three, first, self.inverse3 = np.unique(triples, return_index=True, return_inverse=True)
+        self.counts3 = np.bincount(self.inverse3, weights=self.trained[self.at3], minlength=len(self.three)).astype(np.int64)
+        at3 = self.at3[first]
+        self.head3, self.tail3 = self.pairs[at3 - 1], self.pairs[at3]
+
+    def answered3(self, answers: np.ndarray) -> None:
+        """Take complete counts of triples."""
+        three = answers >> 1
+        self.owned3, self.has3 = (answers & 1).astype(bool), three >= LEAST
+        self.share3 = np.where(self.has3, (three - DISCOUNT) / np.maximum(self.two[self.head3], 1), 1)
+
+    def sums(self, order: int) -> list[np.ndarray]:
+        """Histories of one order by key, and what the n-grams this slice adds give each: their shares, and the shorter history's."""
+        has, owned, head, share, lower = (
+            (self.has2, self.owned2, self.head2, self.share2, self.word[self.word2])
+            if order == 1
+            else (self.has3, self.owned3, self.head3, self.share3, self.share2[self.tail3])
+        )
+        own, keys, ids = has & owned, self.keys[order - 1], self.histories[order - 1]
+        return [keys[ids], *(np.bincount(head[own], weights=w[own], minlength=len(keys))[ids] for w in (share, lower))]
+
+    def scores(self, weights1: np.ndarray, weights2: np.ndarray) -> list[np.ndarray]:
+        """Per text: known tokens, add-one score and the model's."""
+        back1, back2 = np.zeros(len(self.keys[0])), np.zeros(len(self.keys[1]))
+        back1[self.histories[0]], back2[self.histories[1]] = weights1, weights2
+        word = np.log10(self.word)
+        pair = np.where(self.has2, np.log10(self.share2), back1[self.head2] + word[self.word2])
+        score = pair[self.pairs]
+        # behind two words or more, back off from the pair before unless the triple has a share
+        score[1:] += np.where(self._behind_start(), 0, back2[self.pairs[:-1]])
+        score[self.at3] = np.where(self.has3, np.log10(self.share3), back2[self.head3] + pair[self.tail3])[self.inverse3]
+        known, base = self.known[self.words].astype(np.int64), word[self.words]
+        for each in (known, base, score):
+            each[self.starts] = 0
+        return [np.add.reduceat(each, self.starts) for each in (known, base, score)]
+
+    def _behind_start(self) -> np.ndarray:
+        first = np.zeros(len(self.words), bool)
+        first[self.starts] = True
+        return first[:-1]
+
+
+def _sent(number: int, bounds: np.ndarray, keys: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+    """Rows of a slice for the buckets; ``keys`` are sorted."""
+    cuts = [*np.searchsorted(keys, bounds), len(keys)]
+    parts = [(b, slice(lo, hi)) for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
+    columns = [pa.array([number] * len(parts), pa.int64()), pa.array([b for b, _ in parts], pa.int64())]
+    columns.append(pa.array([_packed_keys(keys[p]) for _, p in parts], pa.binary()))
+    columns += [pa.array([_packed(v[p]) for _, p in parts], pa.binary()) for v in values]
+    columns += [pa.nulls(len(parts), pa.binary())] * (5 - len(columns))
+    return pa.RecordBatch.from_arrays(columns, ["slice", "bucket", "keys", "n", "more"])
+
+
+_SENT = "slice long, bucket long, keys binary, n binary, more binary"
+
+
+def _answers(table: pa.Table, turn: int, orders: tuple[int, ...], bits: int, kind: type) -> np.ndarray:
+    """Answers to a slice of one turn, in the order of its keys."""
+    rows = sorted(zip(table["turn"].to_pylist(), table["bucket"].to_pylist(), table["answer"].to_pylist()))
+    found = [_unpacked(data, kind) for t, bucket, data in rows if t == turn and (bucket >> bits) + 1 in orders]
+    return np.concatenate([np.empty(0, kind), *found])
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """What a bucket answers.
+
+    For counts: totals, times two, plus one for the first slice of an n-gram; and totals of the bucket's words in its
+    first row. For histories: the log10 weight of backing off. Slices are sorted, so that sums of floats have one order.
+    """
+    table = table.sort_by("slice")
+    keys = [_unpacked_keys(k) for k in table["keys"].to_pylist()]
+    distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+
+    def summed(column: str, kind: type) -> np.ndarray:
+        values = np.concatenate([_unpacked(v, kind) for v in table[column].to_pylist()])
+        return np.bincount(inverse, weights=values, minlength=len(distinct))
+
+    tokens = words = 0
+    if table["more"].null_count:
+        totals = summed("n", np.int64).astype(np.int64)
+        mine = (distinct >> np.uint64(62) == 1) & (distinct != np.uint64(_START_KEY)) & (totals > 0)
+        tokens, words = int(totals[mine].sum()), int(mine.sum())
+        values = totals[inverse] * 2
+        values[first] += 1
+    else:
+        kept, lower = summed("n", np.float64), summed("more", np.float64)
+        values = np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - lower, 1e-12))[inverse]
+    answers = [_packed(v) for v in np.split(values, np.cumsum([len(k) for k in keys])[:-1])]
+    rest = [0] * (table.num_rows - 1)
+    return pa.table(
+        {
+            "slice": table["slice"],
+            "bucket": table["bucket"],
+            "answer": pa.array(answers, pa.binary()),
+            "tokens": pa.array([tokens, *rest], pa.int64()),
+            "distinct": pa.array([words, *rest], pa.int64()),
+        }
+    )
+
+
+def _answered(sent: DataFrame, turn: int) -> DataFrame:
+    made = sent.groupBy("bucket").applyInArrow(_add, "slice long, bucket long, answer binary, tokens long, distinct long")
+    with _shuffles_released(sent.sparkSession):
+        return materialize(made.withColumn("turn", F.lit(turn)), "ngram-answers")
+
+
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when their query has ended, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: fold, token counts, the add-one unigram score and the model's, both log10."""
-    spark = docs.sparkSession
-    ship(spark)
-    if math.floor(1 / frequent) + _FIRST > 1 << _BITS:
-        raise ValueError(f"frequent must be at least {1 / ((1 << _BITS) - _FIRST):.3g}")
+    ship(docs.sparkSession)
     plain = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"), held_out(docs[key]).alias("held_out"))
-    training = plain.filter(~F.col("held_out"))
-    counts = materialize(
-        training.select(F.explode(blank_words(lower_ascii(F.col("text")))).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "word-counts",
-    )
-    documents = training.count()
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("distinct")).first()
-    tokens, distinct = totals["n"] + documents, totals["distinct"] + (documents > 0)
-    least = max(frequent * tokens, LEAST)
-    table = counts.filter(F.col("n") >= least).toArrow()  # at most 1 / FREQUENT rows
-    words = sorted(zip(table["word"].to_pylist(), table["n"].to_pylist()))
-    numbers = spark.sparkContext.broadcast(Numbers({w.encode(): _FIRST + i for i, (w, _) in enumerate(words)}))
-    grams: list[dict[int, int]] = []
-    for size in range(2, order + 1):
-        known = [np.array(sorted(table), dtype=np.int64) for table in grams]
-        grams.append(_count_grams(training, numbers, size, known, least))
-    automaton = spark.sparkContext.broadcast(build_automaton([n for _, n in words], grams, tokens, distinct, documents))
-    scored = materialize(_traversed(plain, numbers, automaton).withColumn("row", F.monotonically_increasing_id()), "traversed")
-    return _with_rare_words(scored, counts, tokens, distinct)
-
-
-def _traversed(plain: DataFrame, numbers, automaton) -> DataFrame:  # noqa: ANN001
-    """One traversal per text; the words without an arc are left over, with how often each occurs."""
-
-    def prepare() -> Callable[[Texts], Made]:
-        number, score_of = numbers.value.__getitem__, automaton.value.score
-        unigrams = np.array([*automaton.value.unigrams, 0.0])  # the last one is for number -1
-
-        def work(texts: Texts) -> Made:
-            sizes, base, score = [], [], []
-            ends, rare, times = [0], [], []
-            for content in texts:
-                words = lowered_bytes(content).split()
-                ids = [*map(number, words), _END]
-                sizes.append(len(ids))
-                base.append(float(unigrams[ids].sum()))
-                score.append(score_of(ids))
-                left = Counter([w for w, i in zip(words, ids) if i < 0])
-                rare.extend(left)
-                times.extend(left.values())
-                ends.append(len(rare))
-            words_left = pa.array(rare, pa.binary()).cast(pa.string())
-            left_over = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), words_left, pa.array(times, pa.int64()))
-            return None, [pa.array(sizes, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), left_over]
-
-        return work
-
-    return map_texts(plain, "n_tokens long, base double, score double, rare map<string,bigint>", prepare, keep=["held_out"])
-
-
-def _with_rare_words(scored: DataFrame, counts: DataFrame, tokens: int, distinct: int) -> DataFrame:
-    """Add what words without arcs weigh, from the whole count table."""
-    rare = scored.select("row", F.explode("rare").alias("word", "times"))
-    n = F.coalesce("n", F.lit(0))
-    weighed = (
-        rare.join(counts, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(tokens + distinct + 1)))).alias("rare_weight"),
-            F.sum("times").alias("rare_tokens"),
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+    slices, size = materialize_counting(plain.mapInArrow(_slicer(SLICE_BYTES), _SLICE), F.sum("tokens"), "slices")
+    bits = math.ceil(math.log2(max((size or 0) / BUCKET_TOKENS, 1)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                grams = _Grams(row)
+                yield _sent(row["slice"], _bounds(bits), np.concatenate(grams.keys), np.concatenate(grams.counts))
+
+    counts = _answered(slices.mapInArrow(count, _SENT), 1)
+    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "distinct")]).first()
+    tokens = totals["tokens"]
+    floor = tokens + totals["distinct"] + 1
+
+    def grams_of(part: pa.Table, answers: pa.Table, turn: int) -> tuple[int, _Grams]:
+        [row] = _rows(part)
+        grams = _Grams(row)
+        grams.answered(_answers(answers, 1, (1, 2), bits, np.int64), floor)
+        if turn > 2:
+            grams.answered3(_answers(answers, 2, (3,), bits, np.int64))
+        return row["slice"], grams
+
+    def second(part: pa.Table, answers: pa.Table) -> pa.Table:
+        number, grams = grams_of(part, answers, 2)
+        return pa.Table.from_batches(
+            [_sent(number, _bounds(bits), *grams.sums(1)), _sent(number, _bounds(bits), grams.three, grams.counts3)]
         )
-    )
-    zero = F.lit(0)
-    more = F.coalesce("rare_weight", F.lit(0.0))
-    # without training documents even the end token is not known
-    end_known = F.lit(0 if tokens else 1)
-    return scored.drop("rare").join(weighed, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_tokens") - F.coalesce("rare_tokens", zero) + F.coalesce("rare_known", zero) - end_known).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+
+    def third(part: pa.Table, answers: pa.Table) -> pa.Table:
+        number, grams = grams_of(part, answers, 3)
+        return pa.Table.from_batches([_sent(number, _bounds(bits), *grams.sums(2))])
+
+    def score(part: pa.Table, answers: pa.Table) -> pa.Table:
+        _, grams = grams_of(part, answers, 4)
+        weights = [_answers(answers, turn, (order,), bits, np.float64) for turn, order in ((2, 1), (3, 2))]
+        known, base, model = grams.scores(*weights)
+        columns = [*grams.docs.columns, grams.sizes - 1, known, np.full(len(base), tokens, np.int64), base, model]
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    def visit(answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], columns: str) -> DataFrame:
+        return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(work, columns)
+
+    more = _answered(visit(counts, second, _SENT), 2)
+    answers = counts.unionByName(more)
+    answers = answers.unionByName(_answered(visit(answers, third, _SENT), 3))
+    kind = plain.schema["doc_id"].dataType.simpleString()
+    return visit(
+        answers,
+        score,
+        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )

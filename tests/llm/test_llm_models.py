@@ -57,6 +57,35 @@ def test_probabilities_of_every_state_sum_to_one():
         assert total == pytest.approx(1)
 
 
+def test_every_repeated_ngram_counts_at_any_size(spark, monkeypatch):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(draw.randint(0, 30)))) for i in range(150)]
+    rows.append((1001, "x y z v " * 450_000))  # 1.8 M tokens: a share of them would ask for more than two occurrences
+    tokens = {i: t.split() for i, t in rows}
+    kept = [i for i in tokens if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert 1001 in kept
+    counts = Counter(w for i in kept for w in tokens[i])
+    number = {w: language_model._FIRST + k for k, w in enumerate(sorted(counts))}
+    coded = {i: [0, *(number.get(w, -1) for w in ws), 1] for i, ws in tokens.items()}
+    grams = []
+    for size in (2, 3):
+        found = Counter(tuple(coded[i][k : k + size]) for i in kept for k in range(len(coded[i]) - size + 1))
+        packed = {sum(w << 20 * (size - 1 - k) for k, w in enumerate(g)): n for g, n in found.items() if n >= 2}
+        assert 2 in packed.values()
+        grams.append(packed)
+    total = sum(counts.values()) + len(kept)
+    whole = language_model.build_automaton([counts[w] for w in sorted(counts)], grams, total, len(counts) + 1, len(kept))
+    monkeypatch.setattr(language_model, "SLICE_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 1 << 17, raising=False)
+    unseen = -math.log10(total + len(counts) + 2)
+    scored = language_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(scored) == len(rows)
+    for r in scored:
+        ids = coded[r["doc_id"]][1:]
+        assert r["score"] == pytest.approx(whole.score(ids) + unseen * ids.count(-1), rel=1e-9)
+
+
 def test_longer_histories_are_used():
     model = language_model.build_automaton(
         [50, 30], [{2 << 20 | 3: 20, 3 << 20 | 2: 20}, {2 << 40 | 3 << 20 | 2: 18}], 90, 3, 10
