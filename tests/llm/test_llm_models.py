@@ -170,6 +170,19 @@ def test_licenses_are_confirmed_by_wording():
     assert (found.license, found.start, found.differences) == ("MIT", 2, 1)
 
 
+@pytest.mark.parametrize("before", [0, 30, 400, 3000])
+def test_licenses_inside_long_lines(before):
+    filler = ("some other words of a paragraph " * 100)[:before]
+    for name, text in licenses.TEMPLATES:
+        [found] = licenses.scanner().matches(f"{filler} {text} {filler}")[1]
+        assert (found.license, found.start >= before, found.differences) == (name, True, 0), text
+    two = f"{filler} Licensed under CC BY 4.0. Released under the MIT License. {filler} Licensed under CC BY 4.0."
+    assert [m.license for m in licenses.scanner().matches(two)[1]] == ["CC-BY-4.0", "MIT", "CC-BY-4.0"]
+    notice = "redistribution and use in source and binary forms with or without any modification are permitted provided that the following conditions are met"
+    near = licenses.scanner().matches(f"{notice} {notice.replace(' any', '')} {notice}")[1]
+    assert [(m.license, m.differences) for m in near] == [("BSD", 1), ("BSD", 0), ("BSD", 1)]
+
+
 def test_license_compression_prefers_the_right_template():
     for name, text in licenses.TEMPLATES:
         assert [m.license for m in licenses.scanner().matches(text)[1]] == [name], text
