@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -183,6 +184,16 @@ def test_licenses_inside_long_lines(before):
     assert [(m.license, m.differences) for m in near] == [("BSD", 1), ("BSD", 0), ("BSD", 1)]
 
 
+@pytest.mark.parametrize("prefix", ["", "# ", " * "])
+def test_wrapped_licenses_are_found(prefix):
+    for name, text in licenses.TEMPLATES:
+        for width in range(20, 81):
+            lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+            wrapped = "Some words\n" + "\n".join(prefix + line for line in lines) + "\nother words"
+            [found] = licenses.scanner().matches(wrapped)[1]
+            assert (found.license, found.differences) == (name, 0), wrapped
+
+
 def test_license_compression_prefers_the_right_template():
     for name, text in licenses.TEMPLATES:
         assert [m.license for m in licenses.scanner().matches(text)[1]] == [name], text
