@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sedimenta.llm import decontaminate as c
+from sedimenta.llm import embedding_duplicates as d
 from sedimenta.llm import quality_rules as q
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -72,7 +73,50 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
 """
 
+#: Whole-number products below 2^53 are exact as doubles.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.parts, b.parts) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+EMBEDDING_DUPLICATES = f"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+    label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings),
+links AS (
+  SELECT a.rid AS a, b.rid AS b, b.vec_id AS id
+  FROM (SELECT * FROM v WHERE usable) a JOIN (SELECT * FROM v WHERE usable) b ON a.label = b.label AND a.rid <> b.rid
+  WHERE list_cosine_similarity(a.e, b.e) >= {d.COSINE!r}),
+reach AS (
+  SELECT rid, rid AS at, vec_id AS id FROM v
+  UNION SELECT reach.rid, links.b, links.id FROM reach JOIN links ON reach.at = links.a),
+least AS (SELECT rid, min(id) AS component_id FROM reach GROUP BY rid),
+counted AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least USING (rid) LEFT JOIN counted USING (rid)
+"""
+
 ORACLES = {
     "op8_quality_rules": QUALITY,
     "op10_decontaminate": CONTAMINATION,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_embedding_duplicates": EMBEDDING_DUPLICATES,
 }

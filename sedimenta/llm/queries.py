@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sedimenta.llm import (
     decontaminate,
+    embedding_duplicates,
+    hard_negatives,
     language_id,
     language_model,
     licenses,
@@ -14,6 +17,7 @@ from sedimenta.llm import (
     quality_rules,
     secrets,
     simhash,
+    spelling,
     token_counts,
 )
 
@@ -70,6 +74,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Every hundredth vector is an anchor.
+MINING = hard_negatives.Mining(anchor="id % 100 = 0")
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), MINING)
+    return mined.withColumn("rank", F.col("rank").cast("int"))
+
+
+def op12_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_licenses": op2_licenses,
@@ -81,4 +103,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_embedding_duplicates": op12_embedding_duplicates,
+    "op13_spelling_groups": op13_spelling_groups,
 }
