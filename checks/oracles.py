@@ -314,7 +314,9 @@ ORACLES = {
     "q_suite_from_profile": suite_rows(),
     "q_norm_name": f"""
         SELECT p_partkey, {norm("p_name")} AS name_norm, {norm("p_brand")} AS brand_norm,
-               {norm("p_type || '_' || p_brand")} AS type_norm FROM part""",
+               {norm("p_type || '_' || p_brand")} AS type_norm,
+               {norm("' ' || upper(other) || '_'")} AS other_norm, {norm("other || 'é ' || p_brand")} AS mixed_norm
+        FROM (SELECT *, translate(lower(p_name), 'abcdefghijklmnopqrstuvwxyz', 'абвгдежзийклмнопрстуфхцчшщ') AS other FROM part)""",
     "q_similar_names": f"{SIMILAR} SELECT head, candidate, ratio FROM ratios",
     "q_similar_names_top3": f"""{SIMILAR}
         SELECT head, candidate, ratio, CAST(place AS INTEGER) AS place FROM (
@@ -443,7 +445,7 @@ ORACLES = {
         FROM (VALUES ('exists'), ('not_null'), ('between')) AS e(expectation), (VALUES ('single'), ('exact'), ('whole')) AS c("column"),
              (SELECT 1 FROM orders HAVING count(*) > 0)""",
     "q_sample_checked": """
-        WITH s AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 500)
+        WITH s AS (SELECT * FROM orders)
         SELECT 'between' AS expectation, 'o_totalprice' AS "column", count(o_totalprice) AS evaluated,
           count(*) FILTER (WHERE o_totalprice > 100000) AS violations, count(*) FILTER (WHERE o_totalprice > 100000) = 0 AS success FROM s
         UNION ALL SELECT 'not_null', 'o_custkey', count(*), count(*) - count(o_custkey), count(*) = count(o_custkey) FROM s""",
@@ -465,5 +467,5 @@ ORACLES = {
     "q_skipped_groups": """
         SELECT 'o_orderkey' AS first_column, 'conformed' AS state, count(*) AS n FROM orders
         UNION ALL SELECT column_name, 'skipped', 0 FROM duckdb_columns() WHERE table_name IN ('nation', 'region') AND column_index = 1""",
-    "q_preview": "SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey LIMIT 5",
+    "q_preview": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5",
 }

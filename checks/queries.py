@@ -8,6 +8,7 @@ lets Spark derive it from a whole table.
 from __future__ import annotations
 
 import dataclasses
+import string
 import uuid
 from datetime import datetime
 
@@ -201,12 +202,20 @@ def suite_from_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- names and mappings ----------------------------------------------------------------------
 
 
+#: Letters of another script for the small letters a to z.
+CYRILLIC = "абвгдежзийклмнопрстуфхцчшщ"
+
+
 def norm_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in ASCII, in another script only, and in both."""
+    other = F.translate(F.lower("p_name"), string.ascii_lowercase, CYRILLIC)
     return table(spark, sf_dir, "part").select(
         "p_partkey",
         norm_name("p_name").alias("name_norm"),
         norm_name("p_brand").alias("brand_norm"),
         norm_name(F.concat_ws("_", "p_type", "p_brand")).alias("type_norm"),
+        norm_name(F.concat(F.lit(" "), F.upper(other), F.lit("_"))).alias("other_norm"),
+        norm_name(F.concat_ws("é ", other, "p_brand")).alias("mixed_norm"),
     )
 
 
@@ -606,10 +615,9 @@ def float_suite_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A suite on the first rows in an order, with computed violations."""
-    sample = lake.bounded_sample(table(spark, sf_dir, "orders"), 500, ["o_orderkey"])
+    """A suite with computed violations, in one aggregation over all orders."""
     suite = [quality.between("o_totalprice", hi=100_000.0), quality.not_null("o_custkey")]
-    return quality.quality_report(sample, suite)
+    return quality.quality_report(table(spark, sf_dir, "orders"), suite)
 
 
 def profile_sketch_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -679,7 +687,7 @@ def skipped_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first rows of an ordered table."""
-    return lake.preview(table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey", "n_name"))
+    return lake.preview(table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey"))
 
 
 QUERIES = {

@@ -40,10 +40,10 @@ def random_names(seed, count, alphabet="abcdef0", lo=1, hi=14):
 
 
 def test_norm_name(spark):
-    raw = [" VendorID ", "vendor_id", "PickupDatetime", "pickup_date_time", "___", "Ärger1"]
+    raw = [" VendorID ", "vendor_id", "PickupDatetime", "pickup_date_time", "___", "Ärger1", " Ürün ", "Имя", "  "]
     df = names_frame(spark, raw)
     got = [r.n for r in df.select(norm_name("name").alias("n")).collect()]
-    assert got == ["vendorid", "vendorid", "pickupdatetime", "pickupdatetime", "", "rger1"]
+    assert got == ["vendorid", "vendorid", "pickupdatetime", "pickupdatetime", "___", "rger1", "rn", "имя", ""]
     assert [norm_text(r) for r in raw] == got
 
 
