@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -16,28 +17,32 @@ _HREF = (
     r"""(?is)^(?:\s*+(?!href\s*+=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+|\s*+/)*+"""
     r"""\s*+href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 )
-# The named character references of HTML, those of everyday use first.
+# The named character references of HTML; those of everyday use are tried before the others.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 _COMMON = ("amp", "lt", "gt", "quot", "apos", "nbsp")
-ENTITIES = {name: html5[f"{name};"] for name in _COMMON} | {
-    name[:-1]: text for name, text in html5.items() if name.endswith(";")
-}
+_ENTITIES_JSON = json.dumps(ENTITIES)
 _REPLACEMENT = "\ufffd"
 # Numbers 128 to 159 stand for the characters of windows-1252, where it has them.
-_WINDOWS = {n: text for n in range(128, 160) if (text := bytes([n]).decode("cp1252", "ignore"))}
+_WINDOWS = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
 # Generic URI syntax: scheme, authority, path, query, fragment.
 _URI = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _BLANK_ENDS = r"^\s+|\s+$"
 
 
-def _literal_map(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+def _entity(name: Column) -> Column:
+    """The text of a named reference; all names but the common ones are one literal, parsed once per query."""
+    others = F.try_element_at(F.from_json(F.lit(_ENTITIES_JSON), "map<string,string>"), name)
+    found = F.when(name == _COMMON[0], ENTITIES[_COMMON[0]])
+    for common in _COMMON[1:]:
+        found = found.when(name == common, ENTITIES[common])
+    return found.otherwise(others)
 
 
 def _symbol(code: Column) -> Column:
     """The character with a number; what is no character is the replacement character."""
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     plain = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
-    named = F.when(code.between(128, 159), F.try_element_at(_literal_map(_WINDOWS), code.cast("int")))
+    named = F.when(code.between(128, 159), F.substring(F.lit(_WINDOWS), (code - 127).cast("int"), F.lit(1)))
     return F.coalesce(named, plain, F.lit(_REPLACEMENT))
 
 
@@ -50,7 +55,7 @@ def _decode_reference(piece: Column) -> Column:
     base = F.when(number.rlike("^[xX]"), 16).otherwise(10)
     # more than eight digits are no character; conv of fewer cannot overflow
     code = F.when(F.length(digits) < 9, F.call_function("conv", digits, base, F.lit(10)).cast("long")).otherwise(0)
-    text = F.when(named != "", F.try_element_at(_literal_map(ENTITIES), named))
+    text = F.when(named != "", _entity(named))
     return (
         F.when(number != "", F.concat(_symbol(code), rest))
         .when(text.isNotNull(), F.concat(text, rest))
