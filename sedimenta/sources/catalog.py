@@ -6,18 +6,19 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any, BinaryIO
+from urllib.parse import unquote
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-CATALOG_SCHEMA = "path string, fingerprint string, pos int, name string, type string, sql_type string, error string"
-
+from sedimenta.sources.lake import SourceMissing, literal_path
 
-class SourceMissing(Exception):
-    """The input path does not exist."""
+CATALOG_SCHEMA = "path string, fingerprint string, pos int, name string, type string, sql_type string, error string"
 
 
 @dataclass(frozen=True)
@@ -29,44 +30,69 @@ class SchemaGroup:
     df: DataFrame
 
 
-def _listed(spark: SparkSession, root: str, glob: str) -> Iterator[tuple[str, int, int]]:
-    """Path, length and modification time of the matching files of one root, from the file system's own listing."""
-    hadoop = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - Spark has no other listing of bare files
+def _tops(spark: SparkSession, root: str) -> list[str]:
+    """What a root stands for: itself, or the folders and files that it is a pattern of."""
+    hadoop = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - Spark has no test for a path
     path = hadoop.Path(root)
     system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())  # noqa: SLF001
-    matches = hadoop.GlobFilter(glob).accept
-    literal = hadoop.Path(_literal_path(root))
     # a folder may have brackets in its name, so the name as it stands comes first
-    tops = system.globStatus(literal) or system.globStatus(path)
+    tops = system.globStatus(hadoop.Path(literal_path(root))) or system.globStatus(path)
     if not tops:
         raise SourceMissing(root)
+    return [t.getPath().toString() + ("/" if t.isDirectory() else "") for t in tops]
+
 
-    def below(folder: object) -> Iterator[object]:
-        for entry in system.listStatus(folder):
-            if entry.getPath().getName()[0] in "._":
-                continue
-            if entry.isDirectory():
-                yield from below(entry.getPath())
-            else:
-                yield entry
+def _sequence(spark: SparkSession, array: object) -> object:
+    """A JVM array as a sequence there; its elements never become calls of their own."""
+    return spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(array)  # noqa: SLF001
 
-    for top in tops:
-        for entry in system.listStatus(top.getPath()) if top.isDirectory() else [top]:
-            if matches(entry.getPath()):
-                for file in below(entry.getPath()) if entry.isDirectory() else [entry]:
-                    yield file.getPath().toString(), file.getLen(), file.getModificationTime()
+
+def _listing(spark: SparkSession, top: str, glob: str) -> DataFrame | None:
+    """The files of one root.
+
+    Spark matches the names, lists the folders among them in parallel, and reads length and time of each
+    file in a task; the contents are not asked for. Scans leave out files of length zero, so those come from the
+    names of the same listing.
+    """
+    jvm = spark._jvm  # noqa: SLF001
+    inside = top.endswith("/")
+    if not inside and not jvm.org.apache.hadoop.fs.GlobFilter(glob).accept(jvm.org.apache.hadoop.fs.Path(top)):
+        return None
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        listed = reader.load(literal_path(top) + glob if inside else literal_path(top))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    files = listed.select("path", "length", F.col("modificationTime").alias("modified"))
+    names = unquote(_sequence(spark, listed._jdf.inputFiles()).mkString("\0"))  # noqa: SLF001
+    every = spark.createDataFrame(pd.DataFrame({"path": names.split("\0") if names else []}), "path string")
+    # an address of a local file has an empty host, its path has none
+    every = every.select(F.regexp_replace("path", "^file:///", "file:/").alias("path"))
+    blank = every.join(files, "path", "left_anti").select(
+        "path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified")
+    )
+    # folders like _temporary are skipped by the listing, marker files of a dataset here
+    below = F.split(F.substring("path", F.lit(len(top) + 1), F.length("path")), "/")
+    hidden = F.exists(F.slice(below, 2, 1 << 30), lambda part: part.rlike("^[._]"))
+    found = files.unionByName(blank)
+    return found.where(~hidden) if inside else found
 
 
 def file_catalog(spark: SparkSession, roots: str | Iterable[str], glob: str = "*.parquet") -> DataFrame:
     """Files directly below each root whose name matches ``glob``: ``path, length, modified``.
 
-    A directory whose name matches is a dataset: all files in it count, at any depth, but for hidden
-    and marker files. Other subdirectories are not entered. A root may be a relative path, a glob that
-    stands for several folders, or a file. File contents are never read.
+    A directory whose name matches is a dataset: all files in it count, at any depth. Hidden and marker files do
+    not count, and other subdirectories are not entered. A root may be a relative path, a glob that stands for
+    several folders, or a file. File contents are never read. ``modified`` is null for files of length zero.
     """
-    found = [row for root in ([roots] if isinstance(roots, str) else roots) for row in _listed(spark, root, glob)]
-    files = spark.createDataFrame(found, "path string, length long, modified long")
-    return files.withColumn("modified", F.timestamp_millis("modified"))
+    tops = [top for root in ([roots] if isinstance(roots, str) else roots) for top in _tops(spark, root)]
+    found = [df for top in tops if (df := _listing(spark, top, glob)) is not None]
+    if not found:
+        return spark.createDataFrame([], "path string, length long, modified timestamp")
+    # Spark deals files out by size, as if it were to read them; a listing needs few tasks
+    return reduce(DataFrame.unionByName, found).coalesce(4 * spark.sparkContext.defaultParallelism)
 
 
 def open_with_arrow(path: str) -> BinaryIO:
@@ -213,8 +239,10 @@ def occurrences(good: DataFrame) -> DataFrame:
     return good.select(F.col("fingerprint").alias("source"), "name").distinct()
 
 
-def _literal_path(path: str) -> str:
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+def _read_files(spark: SparkSession, schema: StructType, paths: list[str]) -> DataFrame:
+    """One scan of many files. The paths go to Spark as one text, not with a call for each of them."""
+    names = spark._jvm.org.apache.commons.lang3.StringUtils.split("\0".join(paths), "\0")  # noqa: SLF001
+    return DataFrame(spark.read.schema(schema)._jreader.parquet(_sequence(spark, names)), spark)  # noqa: SLF001
 
 
 def scan_groups(spark: SparkSession, good: DataFrame) -> list[SchemaGroup]:
@@ -226,17 +254,12 @@ def scan_groups(spark: SparkSession, good: DataFrame) -> list[SchemaGroup]:
     """
     schemas: dict[str, list[StructField]] = {}
     paths: dict[str, list[str]] = {}
-    first = good.groupBy("fingerprint").agg(F.min("path").alias("path"))
-    for row in (
-        good.join(first, ["fingerprint", "path"], "left_semi")
-        .select("fingerprint", "pos", "name", "sql_type")
-        .orderBy("fingerprint", "pos")
-        .collect()
-    ):
+    columns = good.groupBy("fingerprint", "pos").agg(F.first("name").alias("name"), F.first("sql_type").alias("sql_type"))
+    for row in columns.orderBy("fingerprint", "pos").collect():
         schemas.setdefault(row.fingerprint, []).append(StructField(row.name, DataType.fromDDL(row.sql_type)))
     for row in good.select("fingerprint", "path").where("pos = 0").toLocalIterator():
-        paths.setdefault(row.fingerprint, []).append(_literal_path(row.path))
+        paths.setdefault(row.fingerprint, []).append(literal_path(row.path))
     return [
-        SchemaGroup(f, tuple(x.name for x in fields), spark.read.schema(StructType(fields)).parquet(*sorted(paths[f])))
+        SchemaGroup(f, tuple(x.name for x in fields), _read_files(spark, StructType(fields), sorted(paths[f])))
         for f, fields in schemas.items()
     ]

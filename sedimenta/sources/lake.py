@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sedimenta.sources.catalog import SourceMissing
+
+
+class SourceMissing(Exception):
+    """The input path does not exist."""
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -23,6 +27,11 @@ def clean_path(*parts: str) -> str:
     return "/".join([head.rstrip("/"), *[p.strip("/") for p in rest]]) if rest else head.rstrip("/") or "/"
 
 
+def literal_path(path: str) -> str:
+    """A path whose name is taken as it stands where a pattern may be given."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read a table; a path that does not exist raises ``SourceMissing``."""
     try:
@@ -49,7 +58,7 @@ def read_partition(
     for key in keys:
         if key not in equal:
             break
-        leading.append(f"{key}={_escaped(str(equal[key]))}")
+        leading.append(f"{key}={escaped(str(equal[key]))}")
     folder = clean_path(base, *leading)
     text = [StructField(k, StringType()) for k in keys]
     try:
@@ -74,7 +83,7 @@ def _missing(path: str, error: Exception) -> DataFrame:
     raise SourceMissing(path) from error
 
 
-def _escaped(value: str) -> str:
+def escaped(value: str) -> str:
     """A partition value as it stands in a folder's name."""
     special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
     return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
