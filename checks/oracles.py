@@ -263,6 +263,30 @@ TABLE_LIST = (
 )
 MONTHS_OF_ORDERS = "SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month FROM orders"
 
+
+
+def both_means(source: str, amount: str = "total_amount", passengers: str = "passenger_count") -> str:
+    return f"""
+        SELECT 'monthly' AS mart, year || '-' || month AS key, {exact_mean(amount)} AS mean FROM {source} GROUP BY 1, 2
+        UNION ALL
+        SELECT 'hourly', CAST(CAST(tpep_pickup_datetime AS DATE) AS VARCHAR) || ' ' || hour(tpep_pickup_datetime),
+               {exact_mean(passengers)} FROM {source} GROUP BY 1, 2"""
+
+
+#: The row checks of the trip suite: label, and what breaks it.
+ROW_CHECKS = {
+    "not_null(vendorid)": "vendorid IS NULL",
+    "not_null(passenger_count)": "passenger_count IS NULL",
+    "between(passenger_count, 1, 8)": "passenger_count NOT BETWEEN 1 AND 8",
+    "not_null(total_amount)": "total_amount IS NULL",
+    "between(total_amount, 0.01, None)": "total_amount < 0.01",
+    "not_null(tpep_pickup_datetime)": "tpep_pickup_datetime IS NULL",
+    "not_null(tpep_dropoff_datetime)": "tpep_dropoff_datetime IS NULL",
+    "between(tpep_pickup_datetime, 1996-01-01, 1999-01-01)":
+        "tpep_pickup_datetime NOT BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-01-01'",
+}
+FAILED = "concat_ws('; ', " + ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in ROW_CHECKS.items()) + ")"
+
 # A mean of doubles rounded as decimal text, half up.
 ORACLES = {
     "q_hourly_mean": f"""
@@ -399,12 +423,31 @@ ORACLES = {
         FROM raw""",
     "q_silver_job": f"WITH {RAW} SELECT * FROM yellow",
     "q_silver_report": f"WITH {RAW} {trip_report('yellow', '1996-01-01', '1999-01-01')}",
-    "q_marts": f"""
-        WITH {RAW}
-        SELECT 'monthly' AS mart, year || '-' || month AS key, {exact_mean("total_amount")} AS mean FROM yellow GROUP BY 1, 2
-        UNION ALL
-        SELECT 'hourly', CAST(CAST(tpep_pickup_datetime AS DATE) AS VARCHAR) || ' ' || hour(tpep_pickup_datetime),
-               {exact_mean("passenger_count")} FROM yellow GROUP BY 1, 2""",
+    "q_marts": f"WITH {RAW} {both_means('yellow')}",
+    "q_run_all": f"""
+        WITH {RAW}, again AS (
+          SELECT * REPLACE (passenger_count + CASE WHEN month = '01' THEN 1 ELSE 0 END AS passenger_count) FROM yellow)
+        {both_means("again")}""",
+    "q_publish_failed": f"""
+        SELECT o_orderkey, CASE WHEN month = '01' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, year, month
+        FROM ({MONTHS_OF_ORDERS})""",
+    "q_maintained_means": f"""
+        WITH {BRONZE}, again AS (
+          SELECT * REPLACE (CASE WHEN month = '03' THEN 2 * total_amount ELSE total_amount END AS total_amount,
+                            CAST(passenger_count AS BIGINT) + CASE WHEN month = '03' THEN 1 ELSE 0 END AS passenger_count) FROM silver)
+        {both_means("again")}""",
+    "q_violations": f"""
+        WITH {BRONZE} SELECT * FROM (SELECT l_orderkey, l_linenumber, {FAILED} AS failed FROM silver) WHERE failed <> ''""",
+    "q_violations_counted": f"WITH {BRONZE} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"check\", count(*) AS violations, count(*) AS n_rows FROM silver WHERE {bad}"
+        for name, bad in ROW_CHECKS.items()
+    ),
+    "q_catalog_refresh": """
+        WITH kinds(data_type, type) AS (VALUES ('BIGINT', 'int64'), ('VARCHAR', 'string'), ('DOUBLE', 'double'), ('TIMESTAMP', 'timestamp[us]'))
+        SELECT 'F' AS dataset, CAST(column_index - 1 AS INTEGER) AS pos, column_name AS name, type, false AS opened
+        FROM duckdb_columns() JOIN kinds USING (data_type) WHERE table_name = 'orders'
+        UNION ALL VALUES ('O', 0, 'o_orderkey', 'int64', true), ('O', 1, 'price', 'string', true), ('N', 0, 'o_orderdate', 'timestamp[us]', true)""",
     "q_links": f"WITH {LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(href) AS href FROM links",
     "q_links_suffix": f"""
         WITH {LINKS} SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(href) AS href FROM links

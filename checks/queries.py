@@ -23,8 +23,9 @@ from sedimenta.operators import conform as c
 from sedimenta.operators import layers, links, mapping, marts, quality
 from sedimenta.operators.ranking import with_ordinal
 from sedimenta.plans import jobs
+from sedimenta.plans.specs import RunConfig
 from sedimenta.session import scratch_path
-from sedimenta.sources import catalog, lake
+from sedimenta.sources import catalog, lake, manifest, published
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -290,24 +291,31 @@ def mapping_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw files -------------------------------------------------------------------------------
 
 
-def drifted_files(spark: SparkSession, sf_dir: str) -> str:
-    """Lineitem as three raw datasets with different column names and types; their folder."""
-    root = scratch_path(spark, "raw")
-    items = table(spark, sf_dir, "lineitem")
-    year = F.year("l_shipdate") % 3
+def _yellow_files(spark: SparkSession, sf_dir: str, root: str, more: Column | None = None) -> None:
+    """A third of the years as one raw dataset, with ``more`` passengers where given."""
     day = F.col("l_shipdate")
-    items.where(year == 0).select(
+    passengers = F.col("l_quantity") if more is None else F.col("l_quantity") + more
+    table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") % 3 == 0).select(
         F.col("l_suppkey").alias("VendorID"),
         day.alias("tpep_pickup_datetime"),
         F.date_add(F.to_date(day), 1).cast("timestamp_ntz").alias("dropoff_datetime"),
-        F.col("l_quantity").alias("passenger_count"),
+        passengers.alias("passenger_count"),
         F.col("l_extendedprice").alias("fare_amount"),
         F.col("l_discount").alias("extra"),
         F.col("l_tax").alias("mta_tax"),
         F.col("l_linenumber").cast("double").alias("tolls"),
         F.col("l_orderkey").alias("PULocationID"),
         F.col("l_partkey").alias("DOLocationID"),
-    ).write.parquet(f"{root}/yellow_tripdata_1996-01.parquet")
+    ).write.mode("overwrite").parquet(f"{root}/yellow_tripdata_1996-01.parquet")
+
+
+def drifted_files(spark: SparkSession, sf_dir: str) -> str:
+    """Lineitem as three raw datasets with different column names and types; their folder."""
+    root = scratch_path(spark, "raw")
+    _yellow_files(spark, sf_dir, root)
+    items = table(spark, sf_dir, "lineitem")
+    year = F.year("l_shipdate") % 3
+    day = F.col("l_shipdate")
     items.where(year == 1).select(
         F.col("l_suppkey").cast("string").alias("vendor_id"),
         day.cast("string").alias("tpep_pickup_datetime"),
@@ -509,13 +517,106 @@ def marts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both means over the registered silver table."""
     path, _ = _silver_table(spark, sf_dir)
     frames = _done(jobs.run_marts(spark, f"silver_{uuid.uuid4().hex}", path, presets.TRIP_MARTS)).frames
-    monthly = frames["monthly"].select(
+    return _both_means(frames["monthly"], frames["hourly"])
+
+
+def _both_means(monthly: DataFrame, hourly: DataFrame) -> DataFrame:
+    return monthly.select(
         F.lit("monthly").alias("mart"), F.concat_ws("-", "year", "month").alias("key"), F.col(marts.MONTHLY).alias("mean")
+    ).unionByName(
+        hourly.select(F.lit("hourly").alias("mart"), F.concat_ws(" ", "dia", "hora").alias("key"), F.col(marts.HOURLY).alias("mean"))
     )
-    hourly = frames["hourly"].select(
-        F.lit("hourly").alias("mart"), F.concat_ws(" ", "dia", "hora").alias("key"), F.col(marts.HOURLY).alias("mean")
+
+
+def run_all_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs with publishing, and again after the yellow files came anew with more passengers in January."""
+    raw, base = drifted_files(spark, sf_dir), scratch_path(spark, "lake")
+    config = RunConfig(
+        raw, f"{base}/bronze", f"{base}/silver", f"silver_{uuid.uuid4().hex}",
+        dataclasses.replace(BRONZE, mode="publish", manifest_path=f"{base}/manifest"),
+        dataclasses.replace(SILVER, mode="publish", violations_path=f"{base}/violations"),
+        dataclasses.replace(presets.TRIP_MARTS, parts_path=f"{base}/parts"),
+    )
+    for report in jobs.run_all(spark, config):
+        _done(report)
+    _yellow_files(spark, sf_dir, raw, F.when(F.month("l_shipdate") == 1, 1.0).otherwise(0.0))
+    reports = [_done(report) for report in jobs.run_all(spark, config)]
+    return _both_means(reports[-1].frames["monthly"], reports[-1].frames["hourly"])
+
+
+def publish_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails in its last rows, when other months are written already, leaves the table as it was."""
+    keys = ["year", "month"]
+    monthly = _orders_by_month(spark, sf_dir).select("o_orderkey", "o_totalprice", *keys)
+    base = scratch_path(spark, "published")
+    published.publish(spark, published.stage(lake.repartition_for_write(monthly, "rebalance", keys), base, keys))
+    price = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("lost"))).otherwise(-F.col("o_totalprice"))
+    try:
+        published.publish(spark, published.stage(monthly.withColumn("o_totalprice", price.cast("double")), base, keys))
+    except Exception as error:  # noqa: BLE001 - Spark reports the failure in several classes
+        if "lost" not in str(error):
+            raise
+    again = monthly.where("month = '01'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    published.publish(spark, published.stage(again, base, keys))
+    return published.read_published(spark, base, keys)
+
+
+def maintained_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both means from stored parts, after one month was published anew with double amounts and one passenger more."""
+    spec, keys = presets.TRIP_MARTS, list(presets.SILVER_KEYS)
+    src, parts = scratch_path(spark, "silver"), scratch_path(spark, "parts")
+    rows = jobs.silver(bronze_like(spark, sf_dir), presets.TRIP_SILVER)
+    published.publish(spark, published.stage(lake.repartition_for_write(rows, "rebalance", keys), src, keys))
+    jobs.refresh_means(spark, src, parts, spec)
+    again = rows.where("month = '03'").withColumns(
+        {"total_amount": F.col("total_amount") * 2, "passenger_count": F.col("passenger_count") + 1}
     )
-    return monthly.unionByName(hourly)
+    published.publish(spark, published.stage(lake.repartition_for_write(again, "rebalance", keys), src, keys))
+    jobs.refresh_means(spark, src, parts, spec)
+    stored = published.read_published(spark, parts, keys)
+    return _both_means(marts.monthly_mean_of_parts(stored, keys), marts.hourly_mean_of_parts(stored))
+
+
+def _typed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = layers.cast_columns(bronze_like(spark, sf_dir), presets.CASTS)
+    return layers.null_safe_sum(typed, presets.AMOUNTS, "total_amount")
+
+
+def violating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each trip that fails a check, with all checks that it fails."""
+    bad = quality.violations(_typed_trips(spark, sf_dir), SUITE)
+    return bad.select("l_orderkey", "l_linenumber", F.array_join("failed", "; ").alias("failed"))
+
+
+def violations_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per check: violations in the report, and rows that name it, both from one scan."""
+    path = scratch_path(spark, "violations")
+    report = quality.audit(_typed_trips(spark, sf_dir), SUITE, path)
+    rows = spark.read.parquet(path).select(F.explode("failed").alias("check")).groupBy("check").agg(F.count(F.lit(1)).alias("n_rows"))
+    names = spark.createDataFrame([(e.kind, e.column, quality.label(e)) for e in SUITE], "expectation string, column string, check string")
+    counted = report.where("expectation <> 'exists'").join(names, ["expectation", "column"]).join(rows, "check", "left")
+    return counted.select("check", "violations", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept catalog after one dataset stayed, one was written anew, one came and one left: its columns, and which were opened."""
+    raw, base = scratch_path(spark, "raw"), scratch_path(spark, "manifest")
+    orders = table(spark, sf_dir, "orders")
+    for status in "FOP":
+        orders.where(F.col("o_orderstatus") == status).write.parquet(f"{raw}/{status}.parquet")
+    glob = "{F,O,P}.parquet"
+    manifest.refresh(spark, raw, base, glob)
+    orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("price")).write.mode("overwrite").parquet(f"{raw}/O.parquet")
+    orders.select("o_orderdate").write.parquet(f"{raw}/N.parquet")
+    before = published.current(spark, f"{base}/files").first().run
+    found = manifest.refresh(spark, raw, base, "{F,O,N}.parquet")
+    old = published.read_folders(spark, f"{base}/files", [], [(before, "")]).select("path", "modified", F.lit(True).alias("known"))
+    files = published.read_published(spark, f"{base}/files").join(old, ["path", "modified"], "left")
+    if found.opened != files.where("known is null").count():
+        raise RuntimeError("a file was opened again")
+    dataset = F.regexp_extract("path", "([A-Z])[.]parquet", 1)
+    columns = manifest.catalog(spark, base).select(dataset.alias("dataset"), "pos", "name", "type").distinct()
+    return columns.join(files.groupBy(dataset.alias("dataset")).agg(F.every(F.col("known").isNull()).alias("opened")), "dataset")
 
 
 # --- links -----------------------------------------------------------------------------------
@@ -738,6 +839,12 @@ QUERIES = {
     "q_silver_job": silver_job,
     "q_silver_report": silver_report,
     "q_marts": marts_job,
+    "q_run_all": run_all_twice,
+    "q_publish_failed": publish_failed,
+    "q_maintained_means": maintained_means,
+    "q_violations": violating_rows,
+    "q_violations_counted": violations_counted,
+    "q_catalog_refresh": catalog_refresh,
     "q_links": all_links,
     "q_links_suffix": links_suffix,
     "q_links_period": links_period,

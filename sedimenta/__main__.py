@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from sedimenta import presets
 from sedimenta.plans import jobs
-from sedimenta.plans.specs import RunConfig, RunReport
+from sedimenta.plans.specs import BronzePolicy, RunConfig, RunReport, SilverSpec
 from sedimenta.session import ship
 
 
@@ -20,6 +21,7 @@ def _parse(argv: list[str]) -> argparse.Namespace:
         command = commands.add_parser(name)
         command.add_argument("src")
         command.add_argument("dst")
+        _add_options(command)
     marts = commands.add_parser("marts")
     marts.add_argument("table")
     marts.add_argument("path")
@@ -29,23 +31,35 @@ def _parse(argv: list[str]) -> argparse.Namespace:
     everything = commands.add_parser("all")
     for name in ("raw", "bronze", "silver", "table"):
         everything.add_argument(name)
+    _add_options(everything)
     return parser.parse_args(argv)
 
 
+def _add_options(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--publish", action="store_true", help="write aside, then make all partitions current at once")
+    command.add_argument("--preview", type=int, default=0, help="rows of the result to show")
+    command.add_argument("--manifest", help="folder of the catalog of files that is kept from run to run")
+
+
+def _settings(args: argparse.Namespace) -> tuple[BronzePolicy, SilverSpec]:
+    chosen = {"mode": "publish"} if args.publish else {}
+    bronze = replace(presets.TRIP_BRONZE, preview=args.preview, manifest_path=args.manifest, **chosen)
+    return bronze, replace(presets.TRIP_SILVER, preview=args.preview, **chosen)
+
+
 def run(spark: SparkSession, argv: list[str]) -> list[RunReport]:
     args = _parse(argv)
     if args.job == "bronze":
-        return [jobs.run_bronze(spark, args.src, args.dst, presets.TRIP_BRONZE)]
+        return [jobs.run_bronze(spark, args.src, args.dst, _settings(args)[0])]
     if args.job == "silver":
-        return [jobs.run_silver(spark, args.src, args.dst, presets.TRIP_SILVER)]
+        return [jobs.run_silver(spark, args.src, args.dst, _settings(args)[1])]
     if args.job == "marts":
         return [jobs.run_marts(spark, args.table, args.path, presets.TRIP_MARTS)]
     if args.job == "quality":
         return [jobs.run_quality(spark, args.path, presets.trip_suite(), args.rows)]
     config = RunConfig(
-        args.raw, args.bronze, args.silver, args.table,
-        presets.TRIP_BRONZE, presets.TRIP_SILVER, presets.TRIP_MARTS,
-    )
+        args.raw, args.bronze, args.silver, args.table, *_settings(args), presets.TRIP_MARTS,
+    )
     return jobs.run_all(spark, config)
 
 

@@ -51,19 +51,43 @@ def rounded_mean(value: Column, digits: int = 2, scale: int | None = None) -> Co
     """
     if scale is None:
         return F.round(F.avg(value), digits)
-    if digits > scale:
-        raise ValueError("digits may not exceed scale")
+    parts = mean_parts(value, scale)
+    return _mean_of(parts["total"], parts["units"], parts["values"], F.avg(value), digits, scale)
+
+
+def mean_parts(value: Column, scale: int) -> dict[str, Column]:
+    """Aggregates from which ``rounded_mean`` follows, also after they are added up over parts of a table.
+
+    ``total`` and ``units``: exact sum and number of the values that are whole units; ``values``: number of all values;
+    ``plain``: their sum as a double, for groups with other values.
+    """
     scaled = F.rint(value * F.lit(float(10**scale)))
     units = F.when(F.abs(scaled) < F.lit(float(2**63)), scaled.cast("long"))
     # two sums of longs, upper and lower bits, cannot overflow and are cheaper than one of decimals
     upper = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
     lower = F.sum(units.bitwiseAND(F.lit(2**20 - 1)))
-    total, n = upper * F.lit(2**20) + lower, F.count(units)
+    return {
+        "total": upper * F.lit(2**20) + lower,
+        "units": F.count(units),
+        "values": F.count(value),
+        "plain": F.sum(value.cast("double")),
+    }
+
+
+def _mean_of(total: Column, n: Column, values: Column, mean: Column, digits: int, scale: int) -> Column:
+    if digits > scale:
+        raise ValueError("digits may not exceed scale")
     step = F.lit(10 ** (scale - digits))
     # floor((2*|total| + n*step) / (2*n*step)), with the sign put back
     rounded = F.call_function("div", F.lit(2) * F.abs(total) + n * step, F.lit(2) * n * step)
     exact = F.when(n > 0, F.signum(total) * rounded / F.lit(float(10**digits)))
-    return F.when(n == F.count(value), exact).otherwise(F.round(F.avg(value), digits))
+    return F.when(n == values, exact).otherwise(F.round(mean, digits))
+
+
+def mean_of_parts(name: str, digits: int = 2, scale: int = 2) -> Column:
+    """``rounded_mean`` from stored parts: columns ``{name}_total``, ``{name}_units``, ``{name}_values`` and ``{name}_plain``."""
+    total, units, values, plain = (F.sum(f"{name}_{part}") for part in ("total", "units", "values", "plain"))
+    return _mean_of(total.cast("decimal(30,0)"), units, values, plain / F.nullif(values, F.lit(0)), digits, scale)
 
 
 def rounded_mean_sql(value: str, digits: int = 2, scale: int | None = None) -> str:

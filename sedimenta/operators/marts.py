@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions.numbers import rounded_mean, rounded_mean_sql
+from sedimenta.functions.numbers import mean_of_parts, mean_parts, rounded_mean, rounded_mean_sql
 from sedimenta.sources.lake import quoted
 
 # Output names of the two means.
@@ -61,6 +61,33 @@ def hourly_mean_sql(
     )
 
 
+def mean_parts_table(
+    df: DataFrame, keys: Sequence[str], amount: str, ts: str, passengers: str, scale: int = 2
+) -> DataFrame:
+    """Exact sums and counts per partition, day and hour, from which both means follow.
+
+    A few hundred rows per month, however many trips it has; parts of different partitions add up.
+    """
+    columns = [
+        column.alias(f"{name}_{part}")
+        for name, value in (("amount", amount), ("passengers", passengers))
+        for part, column in mean_parts(F.col(value), scale).items()
+    ]
+    return df.groupBy(*keys, F.to_date(ts).alias(DAY), F.hour(ts).alias(HOUR)).agg(*columns)
+
+
+def monthly_mean_of_parts(
+    parts: DataFrame, keys: Sequence[str], digits: int = 2, out: str = MONTHLY, scale: int = 2
+) -> DataFrame:
+    """``monthly_mean`` from the parts of all partitions."""
+    return parts.groupBy(*keys).agg(mean_of_parts("amount", digits, scale).alias(out)).orderBy(*keys)
+
+
+def hourly_mean_of_parts(parts: DataFrame, digits: int = 2, out: str = HOURLY, scale: int = 2) -> DataFrame:
+    """``hourly_mean`` from the parts of all partitions."""
+    return parts.groupBy(DAY, HOUR).agg(mean_of_parts("passengers", digits, scale).alias(out)).orderBy(DAY, HOUR)
+
+
 def query_view(spark: SparkSession, df: DataFrame, view: str, text: str) -> DataFrame:
     """Run SQL text with ``df`` registered under ``view``."""
     df.createOrReplaceTempView(view)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -138,6 +138,46 @@ def quality_report(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def label(e: Expectation) -> str:
+    """A check by its kind, column and settings, as in ``between(fare, 0.01, None)``."""
+    settings = {"between": (e.lo, e.hi), "in_set": e.values}.get(e.kind, ())
+    end = " exclusive" if e.hi_exclusive else ""
+    return f"{e.kind}({', '.join(map(str, (e.column, *settings)))}{end})"
+
+
+def failed_checks(suite: Sequence[Expectation], schema: StructType) -> Column:
+    """The labels of the checks that a row fails, in the order of the suite.
+
+    What only the table as a whole can fail (a column that is not there, a share of rows) has no row, and is
+    in the report; a check with ``mostly`` names each row that breaks it.
+    """
+    tests = []
+    for e in suite:
+        if e.column in schema.names and e.kind != "exists":
+            bad = F.col(f"`{e.column}`").isNull() if e.kind == "not_null" else F.coalesce(_bad(e, schema), F.lit(False))
+            tests.append(F.when(bad, F.lit(label(e))))
+    return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+
+
+def violations(df: DataFrame, suite: Sequence[Expectation], out: str = "failed") -> DataFrame:
+    """The rows that fail a check, with the array of all checks they fail; built-in expressions, no shuffle."""
+    return df.withColumn(out, failed_checks(suite, df.schema)).where(F.size(out) > 0)
+
+
+def audit(df: DataFrame, suite: Sequence[Expectation], path: str, out: str = "failed") -> DataFrame:
+    """Write the violating rows to ``path`` and return the report, both from one scan.
+
+    The report's counts are observed below the filter, in the job that writes the rows.
+    """
+    if not suite:
+        violations(df, suite, out).write.mode("overwrite").parquet(path)
+        return quality_report(df, suite)
+    seen = Observation()
+    observed = df.observe(seen, *suite_metrics(suite, df.schema))
+    violations(observed, suite, out).write.mode("overwrite").parquet(path)
+    return report_from_metrics(df.sparkSession, suite, seen.get)
+
+
 def report_from_metrics(spark: SparkSession, suite: Sequence[Expectation], metrics: dict[str, int]) -> DataFrame:
     """The same report from observed aggregates."""
     rows = [

@@ -13,9 +13,16 @@ from pyspark.sql.types import StructType
 from sedimenta.operators import mapping as m
 from sedimenta.operators.conform import conform_groups
 from sedimenta.operators.layers import cast_columns, null_safe_sum, require, select_columns, with_year_month
-from sedimenta.operators.marts import hourly_mean_sql, monthly_mean_sql
+from sedimenta.operators.marts import (
+    hourly_mean_of_parts,
+    hourly_mean_sql,
+    mean_parts_table,
+    monthly_mean_of_parts,
+    monthly_mean_sql,
+)
 from sedimenta.operators.quality import (
     Expectation,
+    audit,
     check,
     enforce,
     load_suite,
@@ -27,10 +34,12 @@ from sedimenta.operators.quality import (
     suite_from_profile,
     suite_metrics,
     value_sets,
+    violations,
     write_report,
 )
 from sedimenta.plans.specs import BronzePolicy, MappingPolicy, MartSpec, RunConfig, RunReport, SilverSpec
 from sedimenta.session import materialize, scratch_path
+from sedimenta.sources import manifest
 from sedimenta.sources.catalog import (
     SourceMissing,
     file_catalog,
@@ -42,13 +51,24 @@ from sedimenta.sources.catalog import (
 from sedimenta.sources.lake import (
     bounded_sample,
     is_empty,
+    preview,
     read_parquet,
-    read_partition,
     register_table,
     repair_table,
     repartition_for_write,
     write_partitioned,
 )
+from sedimenta.sources.published import (
+    Staged,
+    current,
+    is_published,
+    publish,
+    read_folders,
+    read_layer,
+    read_published,
+    stage,
+    sync_table,
+)
 
 log = logging.getLogger("sedimenta")
 
@@ -74,9 +94,13 @@ def _reported(job: str) -> Callable:
 
 
 def harvest(
-    spark: SparkSession, roots: str | Iterable[str], glob: str = "*.parquet"
+    spark: SparkSession, roots: str | Iterable[str], glob: str = "*.parquet", manifest_path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Readable and quarantined parts of the schema catalog; each footer is read once."""
+    """Readable and quarantined parts of the schema catalog; each footer is read once, with a manifest once ever."""
+    if manifest_path:
+        found = manifest.refresh(spark, roots, manifest_path, glob)
+        log.info("catalog: %d files, %d opened, %d gone", found.listed, found.opened, found.gone)
+        return split_quarantine(materialize(manifest.catalog(spark, manifest_path), "catalog"))
     return split_quarantine(materialize(schema_catalog(file_catalog(spark, roots, glob)), "catalog"))
 
 
@@ -108,23 +132,33 @@ def build_mapping(
 
 
 def _observed_write(
-    df: DataFrame, path: str, keys: Sequence[str], mode: str, suite: Sequence[Expectation] = ()
-) -> dict[str, int]:
-    """Write and count, and check the suite, in the same pass.
+    df: DataFrame, path: str, keys: Sequence[str], mode: str, suite: Sequence[Expectation] = (), on_fail: str = "warn"
+) -> tuple[dict[str, int], Staged | None]:
+    """Write and count, and check the suite, in the same pass; in publish mode also what was staged.
 
     The observation sits directly below the write, after any shuffle, so a task that is run again
     is counted once.
     """
+    metrics = suite_metrics(suite, df.schema)
+    if mode == "publish":
+        staged = stage(df, path, keys, metrics)
+        if on_fail == "raise":
+            enforce(report_from_metrics(df.sparkSession, suite, staged.metrics))
+        publish(df.sparkSession, staged)
+        return staged.metrics, staged
     seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *suite_metrics(suite, df.schema))
-    write_partitioned(observed, path, keys, mode)
-    return seen.get
+    write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics), path, keys, mode)
+    return seen.get, None
+
+
+def _previews(spark: SparkSession, path: str, keys: Sequence[str], n: int) -> dict[str, DataFrame]:
+    return {"preview": preview(read_layer(spark, path, keys), n)} if n else {}
 
 
 @_reported("bronze")
 def run_bronze(spark: SparkSession, src: str | Iterable[str], dst: str, policy: BronzePolicy) -> RunReport:
     """Raw files to a conformed table partitioned by ``policy.keys``."""
-    good, quarantine = harvest(spark, src, policy.glob)
+    good, quarantine = harvest(spark, src, policy.glob, policy.manifest_path)
     if policy.quarantine_path:
         quarantine.write.mode("overwrite").parquet(policy.quarantine_path)
     if is_empty(good):
@@ -134,12 +168,16 @@ def run_bronze(spark: SparkSession, src: str | Iterable[str], dst: str, policy:
         m.write_mapping(mapping, f"{policy.mapping_path.rstrip('/')}/json", "json")
         m.write_mapping(mapping, f"{policy.mapping_path.rstrip('/')}/csv", "csv")
     df, skipped = conform_groups(scan_groups(spark, good), m.mapping_dict(mapping), policy.conform)
-    if is_empty(df):
+    # only a static overwrite without rows would lose what is there; the others replace nothing
+    if policy.mode == "static" and is_empty(df):
         return RunReport("bronze", "no_data", skipped=skipped)
     keyed = require(with_year_month(df, policy.ts_col), policy.keys)
     arranged = repartition_for_write(keyed, policy.layout, policy.keys)
-    seen = _observed_write(arranged, dst, policy.keys, policy.mode)
-    return RunReport("bronze", "ok", rows=seen["rows"], skipped=skipped)
+    seen, _ = _observed_write(arranged, dst, policy.keys, policy.mode)
+    if not seen["rows"]:
+        return RunReport("bronze", "no_data", skipped=skipped)
+    frames = _previews(spark, dst, policy.keys, policy.preview)
+    return RunReport("bronze", "ok", rows=seen["rows"], skipped=skipped, frames=frames)
 
 
 def silver(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
@@ -151,29 +189,65 @@ def silver(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
 @_reported("silver")
 def run_silver(spark: SparkSession, src: str, dst: str, spec: SilverSpec) -> RunReport:
     """Bronze table to silver table, checked against ``spec.suite``."""
-    bronze = read_partition(spark, src, spec.source_keys, **spec.where)
+    bronze = read_layer(spark, src, spec.source_keys, **spec.where)
     if is_empty(bronze):
         return RunReport("silver", "no_data")
     df = silver(bronze, spec)
-    if spec.on_fail == "raise":
+    if spec.on_fail == "raise" and spec.mode != "publish":
         enforce(quality_report(df, spec.suite))
-    seen = _observed_write(repartition_for_write(df, spec.layout, spec.keys), dst, spec.keys, spec.mode, spec.suite)
+    arranged = repartition_for_write(df, spec.layout, spec.keys)
+    seen, staged = _observed_write(arranged, dst, spec.keys, spec.mode, spec.suite, spec.on_fail)
     report = report_from_metrics(spark, spec.suite, seen)
     failed = [e.kind + " " + e.column for i, e in enumerate(spec.suite) if not passed(e, seen[f"e{i}"], seen[f"v{i}"])]
     if failed:
         log.warning("silver: rows violate %s", ", ".join(failed))
+    if spec.violations_path and any(seen[f"v{i}"] for i in range(len(spec.suite))):
+        # what was just written is cheaper to read again than its input
+        written = df if staged is None else read_folders(spark, dst, spec.keys, [(staged.run, f) for f in staged.folders])
+        violations(written, spec.suite).write.mode("overwrite").parquet(spec.violations_path)
     if spec.report_path:
         write_report(report, spec.report_path)
-    return RunReport("silver", "ok", rows=seen["rows"], quality=report)
+    frames = _previews(spark, dst, spec.keys, spec.preview)
+    return RunReport("silver", "ok", rows=seen["rows"], quality=report, frames=frames)
+
+
+def refresh_means(spark: SparkSession, src: str, parts: str, spec: MartSpec) -> list[str]:
+    """Bring the stored parts of both means to the published table ``src``; returns the partitions that were read.
+
+    Each partition of the parts remembers the run that its rows come from, so only partitions that another run has
+    published since are read, and those that left the table leave the parts.
+    """
+    runs = {r.folder: r.run for r in current(spark, src).collect()}
+    made = {r.folder: r.source for r in current(spark, parts).collect()} if is_published(spark, parts) else {}
+    touched = sorted(f for f, run in runs.items() if made.get(f) != run)
+    gone = sorted(f for f in made if f not in runs)
+    if touched or gone:
+        # with nothing touched, any folder gives the columns
+        folders = [(runs[f], f) for f in touched or list(runs)[:1]]
+        rows = read_folders(spark, src, spec.keys, folders)
+        table = mean_parts_table(rows if touched else rows.limit(0), spec.keys, spec.amount, spec.ts, spec.passengers, spec.scale)
+        publish(spark, stage(table, parts, spec.keys), runs, drop=gone)
+    return touched
 
 
 @_reported("marts")
 def run_marts(spark: SparkSession, table: str, path: str, spec: MartSpec, schema: StructType | None = None) -> RunReport:
-    """Register the silver table and define both means over it."""
+    """Register the silver table and define both means over it, or over its parts where those are kept."""
     if schema is None:
-        schema = read_partition(spark, path, spec.keys).schema
-    register_table(spark, table, schema, path, spec.keys)
-    repair_table(spark, table)
+        schema = read_layer(spark, path, spec.keys).schema
+    if is_published(spark, path):
+        sync_table(spark, table, schema, path, spec.keys)
+    else:
+        register_table(spark, table, schema, path, spec.keys)
+        repair_table(spark, table)
+    if spec.parts_path:
+        refresh_means(spark, path, spec.parts_path, spec)
+        parts = read_published(spark, spec.parts_path, spec.keys)
+        frames = {
+            "monthly": monthly_mean_of_parts(parts, spec.keys, spec.digits, scale=spec.scale),
+            "hourly": hourly_mean_of_parts(parts, spec.digits, scale=spec.scale),
+        }
+        return RunReport("marts", "ok", frames=frames)
     frames = {
         "monthly": spark.sql(monthly_mean_sql(table, spec.keys, spec.amount, spec.digits, scale=spec.scale)),
         "hourly": spark.sql(hourly_mean_sql(table, spec.ts, spec.passengers, spec.digits, scale=spec.scale)),
@@ -192,33 +266,42 @@ def run_quality(
     suite_path: str | None = None,
     on_fail: str = "warn",
     set_limit: int = 20,
+    profiled: bool = False,
+    violations_path: str | None = None,
 ) -> RunReport:
     """Check a bounded sample of a table on its own; the sample stays visible as a view.
 
     Without a ``suite`` the sample is profiled and the suite made from the profile. ``suite_path``
     stores that suite, and the check runs with the stored one, as a later run would. With
-    ``on_fail="raise"`` a failed check fails the job.
+    ``on_fail="raise"`` a failed check fails the job. ``profiled`` adds the profile to the report beside a
+    given suite; rows that fail a check go to ``violations_path``, written in the scan that counts them.
     """
-    sample = bounded_sample(read_parquet(spark, path), n)
+    source = read_published(spark, path) if is_published(spark, path) else read_parquet(spark, path)
+    sample = bounded_sample(source, n)
     sample.createOrReplaceTempView(view)
+    frames = {}
+    if suite is None or profiled:
+        frames["profile"] = materialize(profile(sample), "profile")
     if suite is None:
-        made = suite_from_profile(profile(sample), value_sets(sample, set_limit))
+        made = suite_from_profile(frames["profile"], value_sets(sample, set_limit))
         where = suite_path or scratch_path(spark, "suite")
         save_suite(made, where)
         suite = load_suite(spark, where)
-    report = materialize(quality_report(sample, suite), "report")
+    report = audit(sample, suite, violations_path) if violations_path else quality_report(sample, suite)
+    report = materialize(report, "report")
     if report_path:
         write_report(report, report_path)
     if on_fail == "raise":
         enforce(report)
     status = "ok" if check(report).first().success else "failed"
-    return RunReport("quality", status, quality=report)
+    return RunReport("quality", status, quality=report, frames=frames)
 
 
 def run_all(spark: SparkSession, cfg: RunConfig) -> list[RunReport]:
     """Bronze, silver, marts in order; stops at the first job that is not ok.
 
-    With dynamic overwrite a repeated run replaces the same partitions and leaves others alone.
+    With dynamic overwrite a repeated run replaces the same partitions and leaves others alone. With ``mode="publish"``
+    in both settings a job that fails leaves its table as it was, and readers see a run's partitions all or not at all.
     """
     steps = (
         lambda: run_bronze(spark, cfg.raw, cfg.bronze, cfg.bronze_policy),

@@ -33,7 +33,11 @@ class MappingPolicy:
 
 @dataclass(frozen=True)
 class BronzePolicy:
-    """``layout`` and ``mode`` as in ``repartition_for_write`` and ``write_partitioned``."""
+    """``layout`` and ``mode`` as in ``repartition_for_write`` and ``write_partitioned``.
+
+    With ``mode="publish"`` partitions are written aside and become current in one step. ``manifest_path`` keeps the catalog
+    of files, so that a later run opens new and changed ones only. ``preview`` rows of the result go into the report.
+    """
 
     mapping: MappingPolicy
     conform: ConformSpec
@@ -44,11 +48,17 @@ class BronzePolicy:
     glob: str = "*.parquet"
     mapping_path: str | None = None
     quarantine_path: str | None = None
+    manifest_path: str | None = None
+    preview: int = 0
 
 
 @dataclass(frozen=True)
 class SilverSpec:
-    """``on_fail="raise"`` checks before writing; ``"warn"`` checks during the write."""
+    """``on_fail="raise"`` checks before writing; ``"warn"`` checks during the write.
+
+    With ``mode="publish"`` both check during the write, and ``"raise"`` leaves the rows unpublished. Rows that
+    fail a check go to ``violations_path``, if there are any; ``preview`` rows of the result go into the report.
+    """
 
     source_keys: tuple[str, ...]
     casts: tuple[CastSpec, ...]
@@ -63,11 +73,17 @@ class SilverSpec:
     layout: str | int = "none"
     mode: str = "dynamic"
     report_path: str | None = None
+    violations_path: str | None = None
+    preview: int = 0
 
 
 @dataclass(frozen=True)
 class MartSpec:
-    """``scale``: decimals of the values; with it means do not depend on the order of rows."""
+    """``scale``: decimals of the values; with it means do not depend on the order of rows.
+
+    ``parts_path`` keeps sums and counts of each partition of a published table, so that a later run reads only the
+    partitions that were published since; it needs ``scale``.
+    """
 
     keys: tuple[str, ...]
     amount: str
@@ -75,6 +91,7 @@ class MartSpec:
     passengers: str
     digits: int = 2
     scale: int | None = None
+    parts_path: str | None = None
 
 
 @dataclass(frozen=True)

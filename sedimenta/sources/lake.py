@@ -32,6 +32,12 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Spark has no test for a path
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)  # noqa: SLF001
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read a table; a path that does not exist raises ``SourceMissing``."""
     try:

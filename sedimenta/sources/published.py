@@ -9,18 +9,26 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
 from typing import Any
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sedimenta.sources.lake import SourceMissing, clean_path, escaped, literal_path, quoted, register_table
+from sedimenta.sources.lake import (
+    SourceMissing,
+    clean_path,
+    escaped,
+    literal_path,
+    path_exists,
+    quoted,
+    read_partition,
+    register_table,
+)
 
 RUNS = "_runs"
 LOG = "_published"
@@ -64,14 +72,17 @@ def stage(df: DataFrame, base: str, keys: Sequence[str] = (), metrics: Sequence[
     return Staged(base, run, tuple(folders), found)
 
 
-def publish(spark: SparkSession, staged: Staged, source: str | None = None, drop: Sequence[str] = ()) -> None:
+def publish(
+    spark: SparkSession, staged: Staged, source: str | Mapping[str, str] | None = None, drop: Sequence[str] = ()
+) -> None:
     """Make all partitions of a run current at once; partitions in ``drop`` leave the table with the same step.
 
-    ``source`` is kept with each partition, to tell what it was made from.
+    ``source`` is kept with each partition, to tell what it was made from: one text, or one by folder.
     """
     at = datetime.now(UTC).replace(tzinfo=None).isoformat(timespec="microseconds")
     gone = [f for f in drop if f not in staged.folders]
-    rows = [(f, staged.run, at, source) for f in staged.folders] + [(f, None, at, source) for f in gone]
+    made_from = source if isinstance(source, Mapping) else dict.fromkeys([*staged.folders, *gone], source)
+    rows = [(f, staged.run, at, made_from.get(f)) for f in staged.folders] + [(f, None, at, made_from.get(f)) for f in gone]
     if rows:
         entry = spark.createDataFrame(rows, LOG_SCHEMA)
         # one task writes one file, and the commit of the job renames it into place
@@ -80,22 +91,18 @@ def publish(spark: SparkSession, staged: Staged, source: str | None = None, drop
 
 def is_published(spark: SparkSession, base: str) -> bool:
     """Whether anything has ever been published below ``base``."""
-    try:
-        return not spark.read.schema(LOG_SCHEMA).json(literal_path(clean_path(base, LOG))).isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return path_exists(spark, clean_path(base, LOG)) and not _log(spark, base).isEmpty()
+
+
+def _log(spark: SparkSession, base: str) -> DataFrame:
+    if not path_exists(spark, clean_path(base, LOG)):
+        raise SourceMissing(base)
+    return spark.read.schema(LOG_SCHEMA).json(literal_path(clean_path(base, LOG)))
 
 
 def current(spark: SparkSession, base: str) -> DataFrame:
     """``folder, run, at, source`` of the partitions that are current, one row each."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).json(literal_path(clean_path(base, LOG)))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise SourceMissing(base) from error
-        raise
+    log = _log(spark, base)
     last = Window.partitionBy("folder").orderBy(F.desc("at"), F.desc("run"))
     return log.withColumn("_n", F.row_number().over(last)).where("_n = 1 and run is not null").drop("_n")
 
@@ -106,23 +113,29 @@ def _values(folder: str) -> dict[str, str | None]:
 
 
 def read_published(
-    spark: SparkSession, base: str, keys: Sequence[str] = (), schema: StructType | None = None, **equal: str
+    spark: SparkSession, base: str, keys: Sequence[str] | None = None, schema: StructType | None = None, **equal: str
 ) -> DataFrame:
     """The current rows of a published table, restricted to the given partition values.
 
-    Only the folders of the partitions asked for are listed. The driver holds a line per partition, as a plan does.
+    Without ``keys`` its folders name them. Only the folders of the partitions asked for are listed. The driver holds a line per partition, as a plan does.
     """
-    for key in equal:
-        if key not in keys:
-            raise ValueError(f"{key} is not a partition column")
     rows = current(spark, base).collect()
     if not rows:
         raise SourceMissing(base)
+    keys = list(_values(rows[0].folder)) if keys is None else keys
+    for key in equal:
+        if key not in keys:
+            raise ValueError(f"{key} is not a partition column")
     wanted = [r for r in rows if all(_values(r.folder)[k] == str(v) for k, v in equal.items())]
     df = read_folders(spark, base, keys, [(r.run, r.folder) for r in wanted or rows[:1]], schema)
     return df if wanted else df.limit(0)
 
 
+def read_layer(spark: SparkSession, base: str, keys: Sequence[str], **equal: str) -> DataFrame:
+    """A partitioned table in either form: what is published below ``base``, or else the files that lie there."""
+    return (read_published if is_published(spark, base) else read_partition)(spark, base, keys, **equal)
+
+
 def read_folders(
     spark: SparkSession, base: str, keys: Sequence[str], folders: Sequence[tuple[str, str]], schema: StructType | None = None
 ) -> DataFrame:
@@ -154,7 +167,7 @@ def sync_table(spark: SparkSession, name: str, schema: StructType, base: str, ke
     table = quoted(name)
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     since = properties.get(_SYNCED, "")
-    log = spark.read.schema(LOG_SCHEMA).json(literal_path(clean_path(base, LOG))).where(F.col("at") > since)
+    log = _log(spark, base).where(F.col("at") > since)
     touched = {r.folder: r.at for r in log.groupBy("folder").agg(F.max("at").alias("at")).collect()}
     if not touched:
         return 0

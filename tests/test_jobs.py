@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from sedimenta import presets
 from sedimenta.__main__ import run
+from sedimenta.operators import marts
 from sedimenta.operators.quality import between
 from sedimenta.plans import jobs
 from sedimenta.plans.specs import RunConfig
-from sedimenta.sources import lake
+from sedimenta.sources import lake, published
 from sedimenta.sources.catalog import SourceMissing
 
 
@@ -134,6 +135,13 @@ def test_command_line_and_quality_job(spark, folders):
     assert {r.evaluated for r in quality.quality.where("expectation = 'not_null'").collect()} == {5}
     reports = run(spark, ["all", folders["raw"], folders["bronze"], folders["silver"], "cli_all"])
     assert [r.job for r in reports] == ["bronze", "silver", "marts"]
+    root = folders["root"]
+    options = ["--publish", "--preview", "2", "--manifest", str(root / "manifest")]
+    reports = run(spark, ["all", folders["raw"], str(root / "b2"), str(root / "s2"), "cli_published", *options])
+    assert [r.exit_code for r in reports] == [0, 0, 0] and reports[1].frames["preview"].count() == 2
+    checked = jobs.run_quality(spark, str(root / "s2"), presets.trip_suite(), profiled=True, violations_path=str(root / "bad"))
+    assert checked.ok and checked.quality.count() == 10 and "total_amount" in {r["column"] for r in checked.frames["profile"].collect()}
+    assert spark.read.parquet(str(root / "bad")).count() == 0
 
 
 def test_partition_values_stay_text_and_prune(spark, folders):
@@ -160,6 +168,81 @@ def test_hot_partition_is_split_on_write(spark, tmp_path):
     assert lake.read_partition(spark, str(tmp_path / "t"), ["month"]).count() == 300_000
 
 
+def published_config(folders, table, **silver):
+    root = folders["root"]
+    return RunConfig(
+        folders["raw"], folders["bronze"], folders["silver"], table,
+        dataclasses.replace(presets.TRIP_BRONZE, mode="publish", manifest_path=str(root / "manifest"), preview=3),
+        dataclasses.replace(presets.TRIP_SILVER, mode="publish", **silver),
+        dataclasses.replace(presets.TRIP_MARTS, parts_path=str(root / "parts")),
+    )
+
+
+def test_published_runs(spark, folders):
+    config = published_config(folders, "published_run", violations_path=str(folders["root"] / "bad"))
+    for _ in range(2):
+        bronze, silver, marts = jobs.run_all(spark, config)
+        assert (bronze.rows, silver.rows, bronze.frames["preview"].count()) == (14, 10, 3)
+        assert published.read_published(spark, folders["bronze"]).count() == 14
+        assert {(r.year, r.month): r.media_valor_arrecadado for r in marts.frames["monthly"].collect()} == {
+            ("2023", "01"): 11.25, ("2023", "02"): 11.25,
+        }
+        assert marts.frames["hourly"].count() == 10 and spark.table("published_run").count() == 10
+    assert not (folders["root"] / "bad").exists()  # no row fails a check
+    assert not list((folders["root"] / "bronze").glob("source_type=*"))
+
+    # a month comes anew, with a row that fails
+    pq.write_table(trips("2023-02-10", 5, VendorID="vendor_id", passenger_count="PassengerCount"), folders["root"] / "raw/yellow_tripdata_2023-02.parquet")
+    strict = dataclasses.replace(config.silver_spec, suite=(between("passenger_count", 1, 2),))
+    bronze, silver, marts = jobs.run_all(spark, dataclasses.replace(config, silver_spec=strict))
+    assert (bronze.rows, silver.rows, spark.table("published_run").count()) == (15, 11, 11)
+    bad = spark.read.parquet(str(folders["root"] / "bad")).collect()
+    assert len(bad) == silver.quality.first().violations == 3
+    assert all(r.passenger_count == 3 and r.failed == ["between(passenger_count, 1, 2)"] for r in bad)
+
+
+def test_a_failed_gate_publishes_nothing(spark, folders):
+    config = published_config(folders, "gated")
+    assert [r.status for r in jobs.run_all(spark, config)] == ["ok"] * 3
+    gated = dataclasses.replace(config.silver_spec, suite=(between("passenger_count", 1, 1),), on_fail="raise", where={"source_type": "green"})
+    assert jobs.run_silver(spark, folders["bronze"], folders["silver"], gated).status == "failed"
+    assert published.read_published(spark, folders["silver"]).count() == 10
+
+
+def test_maintained_means_read_touched_partitions_only(spark, tmp_path):
+    spec, keys = presets.TRIP_MARTS, list(presets.SILVER_KEYS)
+    src, parts = str(tmp_path / "silver"), str(tmp_path / "parts")
+    odd = F.when(F.col("id") == 5, F.lit(float("nan"))).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") * 0.37 - 40)
+
+    def rows(n, factor):
+        at = F.timestamp_seconds(F.lit(1672531200) + F.col("id") * 7000)
+        trip = spark.range(n).select(at.alias("tpep_pickup_datetime"), (odd * factor).alias("total_amount"), (F.col("id") % 5).cast("int").alias("passenger_count"))
+        return jobs.with_year_month(trip, "tpep_pickup_datetime")
+
+    def means(table):
+        return (
+            marts.monthly_mean(table, keys, "total_amount", scale=2).collect(),
+            marts.hourly_mean(table, "tpep_pickup_datetime", "passenger_count", scale=2).collect(),
+        )
+
+    def stored():
+        df = published.read_published(spark, parts, keys)
+        return marts.monthly_mean_of_parts(df, keys).collect(), marts.hourly_mean_of_parts(df).collect()
+
+    first = rows(1500, 1.0)
+    published.publish(spark, published.stage(first, src, keys))
+    assert jobs.refresh_means(spark, src, parts, spec) == ["year=2023/month=01", "year=2023/month=02", "year=2023/month=03", "year=2023/month=04", "year=2023/month=05"]
+    assert str(stored()) == str(means(first))
+    assert jobs.refresh_means(spark, src, parts, spec) == []
+
+    again = rows(3000, -3.0).where("month = '02'")
+    gone = "year=2023/month=05"
+    published.publish(spark, published.stage(again, src, keys), drop=[gone])
+    assert jobs.refresh_means(spark, src, parts, spec) == ["year=2023/month=02"]
+    whole = first.where("month not in ('02', '05')").unionByName(again)
+    assert str(stored()) == str(means(whole)) == str(means(published.read_published(spark, src, keys)))
+
+
 def test_small_helpers(spark):
     assert lake.clean_path("s3a://bucket/x/", "/source_type=yellow/") == "s3a://bucket/x/source_type=yellow"
     df = spark.range(100)

@@ -167,3 +167,28 @@ def test_running_total_and_ordinal(spark):
     assert got == want
     ranked = with_ordinal(df.select("id"), ["id"]).collect()
     assert {r.id: r.ordinal for r in ranked} == {i: i + 1 for i in range(1000)}
+
+
+def test_violating_rows_and_report_come_from_one_scan(spark, tmp_path):
+    rows = [(1, 5, "a"), (2, None, "b"), (3, 50, None), (4, -1, "z"), (5, 3, "a"), (6, None, "z")]
+    df = spark.createDataFrame(rows, "id int, n int, `k.x` string").repartition(3)
+    suite = [
+        q.exists("n"), q.exists("absent"), q.not_null("n", mostly=0.5), q.between("n", 0, 40), q.in_set("k.x", ["a", "b"]),
+        q.between("absent", 1, 2), q.not_null("k.x"),
+    ]
+    report = q.audit(df, suite, str(tmp_path / "bad"))
+    found = {r.id: r.failed for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert found == {
+        2: ["not_null(n)"], 3: ["between(n, 0, 40)", "not_null(k.x)"], 4: ["between(n, 0, 40)", "in_set(k.x, a, b)"],
+        6: ["not_null(n)", "in_set(k.x, a, b)"],
+    }
+    assert [tuple(r) for r in report.collect()] == [tuple(r) for r in q.quality_report(df, suite).collect()]
+    counts = {}
+    for labels in found.values():
+        for text in labels:
+            counts[text] = counts.get(text, 0) + 1
+    by_label = {q.label(e): r.violations for e, r in zip(suite, report.collect(), strict=True) if e.column != "absent" and e.kind != "exists"}
+    assert by_label == counts
+    assert q.violations(df, []).count() == 0 and q.audit(df, [], str(tmp_path / "none")).count() == 0
+    plan = q.violations(df, suite)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
