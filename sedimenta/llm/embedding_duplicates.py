@@ -269,10 +269,10 @@ def _members(nodes: DataFrame, limit: float) -> DataFrame:
     led = _gathered(materialize(sized.select(*at).distinct(), "codes"))
     order = F.struct(F.col("first_id").isNull(), "first_id", "digest")
     firsts = (
-        sized.join(led.select("label", "length", F.col("lead").alias("code")).distinct(), at, "left_semi")
-        .groupBy(*at)
+        sized.groupBy(*at)
         .agg(F.min_by(F.struct("digest", "unit"), order).alias("first"))
         .withColumnRenamed("code", "lead")
+        .join(led.select("label", "length", "lead").distinct(), ["label", "length", "lead"], "left_semi")
     )
     placed = sized.join(led, at).join(firsts, ["label", "length", "lead"])
     # the angle of a leader to itself must be exactly zero
