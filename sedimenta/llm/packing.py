@@ -1,12 +1,12 @@
 """Packing of tokenised documents into fixed windows, planned by non-negative least squares.
 
-A document is cut into full windows and one rest. Rests are counted by length bin; only this
-histogram, at most BINS rows whatever the input, reaches the driver. There all combinations of up to
-DEPTH bins that fill a window exactly are enumerated, non-negative least squares finds how often to
-use each, the repeats are rounded down to what the histogram has, and the residual counts are packed
-greedily, largest bin first. The plan is again a small table: piece number r of a bin goes to the
-sequence that the plan names for r. Pieces are numbered per bin from counts per task, so no bin, however
-many pieces it has, is ever sorted or held in one task.
+A document is cut into full windows and one rest. Pieces are counted by length; only this histogram, at most
+a row per possible length whatever the input, reaches the driver. There lengths are rounded up to BINS bins, all combinations
+of up to DEPTH bins that fill a window exactly are enumerated, non-negative least squares finds how often to use each, and
+the repeats are rounded down to what the histogram has, longest pieces of a bin first. What is left is packed greedily by
+exact lengths, so that a sequence holds as many short pieces as fit. The plan is again a small table: piece number r
+of a length goes to the sequence that the plan names for r. Pieces are numbered per length from counts per task,
+so no length, however many pieces have it, is ever sorted or held in one task.
 
 Defined results: a null or empty text is its end id alone. Null ids pass through; rows that repeat are
 documents of their own; ties are broken by the order of rows in files. An empty table gives no pieces.
@@ -83,22 +83,23 @@ def nonnegative_least_squares(matrix: np.ndarray, target: np.ndarray, rounds: in
     return x
 
 
-def plan_sequences(histogram: dict[int, int], bins: int = BINS, depth: int = DEPTH) -> Plan:
-    """How to combine bins 1..``bins`` so that every piece of ``histogram`` is used exactly once."""
-    left = Counter({b: n for b, n in histogram.items() if n})
-    plan: Plan = []
+def _use(plan: Plan, left: Counter, combination: tuple[int, ...], repeats: int) -> None:
+    if repeats:
+        plan.append((combination, repeats))
+        for b in combination:
+            left[b] -= repeats
 
-    def use(combination: tuple[int, ...], repeats: int) -> None:
-        if repeats:
-            plan.append((combination, repeats))
-            for b in combination:
-                left[b] -= repeats
 
-    def possible(combination: tuple[int, ...]) -> int:
-        return min(left[b] // n for b, n in Counter(combination).items())
+def _possible(left: Counter, combination: tuple[int, ...]) -> int:
+    return min(left[b] // n for b, n in Counter(combination).items())
 
-    use((bins,), left[bins])
-    choices = [c for c in fillings(bins, depth) if possible(c)]
+
+def exact_fillings(histogram: dict[int, int], bins: int = BINS, depth: int = DEPTH) -> Plan:
+    """Combinations of bins 1..``bins`` that fill a window, and how often least squares takes each."""
+    left = Counter({b: n for b, n in histogram.items() if n})
+    plan: Plan = []
+    _use(plan, left, (bins,), left[bins])
+    choices = [c for c in fillings(bins, depth) if _possible(left, c)]
     if choices:
         matrix = np.zeros((bins, len(choices)))
         for i, choice in enumerate(choices):
@@ -107,16 +108,22 @@ def plan_sequences(histogram: dict[int, int], bins: int = BINS, depth: int = DEP
         wanted = np.array([left[b] for b in range(bins)], dtype=float)
         repeats = nonnegative_least_squares(matrix, wanted)
         for i in np.argsort(-repeats, kind="stable"):
-            use(choices[i], min(int(repeats[i]), possible(choices[i])))
-    while rest := [b for b in range(bins, 0, -1) if left[b]]:
+            _use(plan, left, choices[i], min(int(repeats[i]), _possible(left, choices[i])))
+    return plan
+
+
+def greedy_fillings(histogram: dict[int, int], window: int) -> Plan:
+    """All pieces of ``histogram``, the longest that fits next, each combination as often as the pieces allow."""
+    left = Counter({b: n for b, n in histogram.items() if n})
+    plan: Plan = []
+    while rest := sorted((b for b, n in left.items() if n), reverse=True):
         combination: list[int] = []
-        space, taken = bins, Counter()
+        space = window
         for b in rest:
-            while b <= space and taken[b] < left[b]:
-                combination.append(b)
-                taken[b] += 1
-                space -= b
-        use(tuple(combination), possible(tuple(combination)))
+            times = min(left[b], space // b)
+            combination += [b] * times
+            space -= b * times
+        _use(plan, left, tuple(combination), _possible(left, tuple(combination)))
     return plan
 
 
@@ -131,6 +138,33 @@ def slots(plan: Plan) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
+def placements(
+    histogram: dict[int, int], window: int = WINDOW, bins: int = BINS, depth: int = DEPTH
+) -> list[tuple[int, int, int, int, int, int]]:
+    """(length, low, high, shift, sequence, times): pieces low..high-1 of a length go to sequences from ``sequence`` on,
+    piece r to number (r + shift) // times of them; every piece of ``histogram`` goes to one."""
+    width = -(-window // bins)
+    by_bin: dict[int, list[int]] = {}
+    for length in sorted((n for n, count in histogram.items() if count), reverse=True):
+        by_bin.setdefault(-(-length // width), []).append(length)
+    # a window that is no whole number of bins is filled with fewer of them
+    plan = exact_fillings({b: sum(histogram[n] for n in own) for b, own in by_bin.items()}, window // width, depth)
+    out, taken = [], Counter()
+    for b, first, past, sequence, times in slots(plan):
+        start = 0
+        for length in by_bin[b]:
+            low, high = max(first - start, 0), min(past - start, histogram[length])
+            if low < high:
+                out.append((length, low, high, start - first, sequence, times))
+                taken[length] = max(taken[length], high)
+            start += histogram[length]
+    sequences = sum(repeats for _, repeats in plan)
+    rest = greedy_fillings({n: count - taken[n] for n, count in histogram.items()}, window)
+    for length, first, past, sequence, times in slots(rest):
+        out.append((length, first + taken[length], past + taken[length], -first - taken[length], sequence + sequences, times))
+    return out
+
+
 def cut(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per piece: its document, place, length and checksum; full windows and one rest each."""
     end = np.array([END_ID], dtype="<u4").tobytes()
@@ -165,35 +199,31 @@ def pack(
 ) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``: every id in exactly one piece, no sequence over ``window``."""
     spark = docs.sparkSession
-    width = window // bins
     pieces = materialize(
         cut(docs, tokenizer, window, key, text).select(
-            "*",
-            F.ceil(F.col("length") / width).cast("int").alias("bin"),
-            F.spark_partition_id().alias("task"),
-            F.monotonically_increasing_id().alias("piece"),
+            "*", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("piece")
         ),
         "pieces",
     )
-    counts = materialize(pieces.groupBy("bin", "task").agg(F.count("*").alias("n")), "piece-counts")
-    histogram = {r["bin"]: r["n"] for r in counts.groupBy("bin").agg(F.sum("n").alias("n")).collect()}
+    counts = materialize(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = spark.createDataFrame(
-        slots(plan_sequences(histogram, bins, depth)),
-        "bin int, first long, past long, sequence long, times long",
+        placements(histogram, window, bins, depth),
+        "length long, low long, high long, shift long, sequence long, times long",
     )
-    before = Window.partitionBy("bin").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("bin", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    within = Window.partitionBy("bin", "task").orderBy("piece")
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    within = Window.partitionBy("length", "task").orderBy("piece")
     ranked = (
         pieces.withColumn("nth", F.row_number().over(within) - 1)
-        .join(offsets, ["bin", "task"])
+        .join(offsets, ["length", "task"])
         .withColumn("rank", F.col("earlier") + F.col("nth"))
     )
-    rank, first = F.col("rank"), F.col("first")
+    rank = F.col("rank")
     placed = (
-        ranked.join(F.broadcast(table), "bin")  # a few rows per bin, whatever the input
-        .filter((rank >= first) & (rank < F.col("past")))
-        .withColumn("sequence_id", F.col("sequence") + F.floor((rank - first) / F.col("times")))
+        ranked.join(F.broadcast(table), "length")  # a few rows per length, whatever the input
+        .filter((rank >= F.col("low")) & (rank < F.col("high")))
+        .withColumn("sequence_id", F.col("sequence") + F.floor((rank + F.col("shift")) / F.col("times")))
     )
     ahead = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "piece").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(

@@ -24,21 +24,37 @@ def test_ids_are_the_tokenizer_s():
         assert ids == reference.encode(text, add_special_tokens=False).ids, text
 
 
-def test_plan_uses_every_piece_once():
+def sequences_of(histogram, window, bins):
+    """Lengths in each sequence; every piece must be placed once."""
+    placed, found = Counter(), defaultdict(list)
+    for length, low, high, shift, sequence, times in packing.placements(dict(histogram), window, bins):
+        for rank in range(low, high):
+            placed[length, rank] += 1
+            found[sequence + (rank + shift) // times].append(length)
+    assert placed == {(n, rank): 1 for n, count in histogram.items() for rank in range(count)}
+    return found
+
+
+def test_plan_places_every_piece_once():
     draw = random.Random(1)
-    for bins, size in [(16, 300), (64, 5000), (64, 1), (64, 0)]:
-        histogram = Counter(min(bins, max(1, int(draw.lognormvariate(2, 1)))) for _ in range(size))
-        plan = packing.plan_sequences(dict(histogram), bins)
-        used = Counter()
-        for combination, repeats in plan:
-            assert sum(combination) <= bins
-            for b in combination:
-                used[b] += repeats
-        assert used == histogram
+    for window, bins, size in [(128, 16, 300), (256, 256, 3000), (2048, 256, 6000), (100, 16, 400), (64, 64, 1), (64, 64, 0)]:
+        histogram = Counter(min(window, max(1, int(draw.lognormvariate(window**0.25, 1.2)))) for _ in range(size))
+        found = sequences_of(histogram, window, bins)
+        assert all(sum(own) <= window for own in found.values())
+        assert sorted(found) == list(range(len(found)))
+        if size > 1000:
+            assert sum(map(sum, found.values())) > 0.97 * window * len(found)
+
+
+def test_short_pieces_fill_sequences():
+    found = sequences_of({3: 20_000}, 2048, 256)
+    assert len(found) == 30
+    found = sequences_of({1: 5000, 3: 4000, 20: 3000, 700: 5}, 2048, 256)
+    assert len(found) <= -(-(5000 + 12000 + 60000 + 3500) // 2048) + 1
 
 
 def test_plan_without_partners():
-    assert packing.plan_sequences({60: 10**9}, 64) == [((60,), 10**9)]
+    assert packing.placements({60: 10**9}, 64, 64) == [(60, 0, 10**9, 0, 0, 1)]
 
 
 def test_least_squares_finds_a_perfect_cover():
