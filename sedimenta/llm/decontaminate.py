@@ -235,7 +235,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", te
     hits = exact.select("doc_id", "mark", _covered(F.col("hits")).alias("n_hit"))
     sizes = F.size(plain_words(docs[text]))
     packed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        F.struct("*").alias("_row"),
         F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("_mark"),
         sizes.alias("_n_words"),
     )

@@ -170,7 +170,7 @@ def score_documents(
 
 def keep_documents(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with all their columns."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text].alias("_text"))
+    packed = docs.select(F.struct("*").alias("_row"), docs[text].alias("_text"))
     # counted where judged; the metrics also keep the filter from being computed anew below the projections
     judged = _judged(with_measures(packed, "_text"), rules).observe(
         "quality_rules", F.count(F.lit(1)).alias("documents"), F.count_if("kept").alias("kept")

@@ -29,14 +29,14 @@ ODD = [
     (6, "x" * 20000, None),
 ]
 # names the operators use themselves
-SCHEMA = "doc_id long, text string, lang string, source string, fp long, n_words long, row long, words string, start int, word string"
+SCHEMA = "doc_id long, text string, lang string, source string, fp long, n_words long, row long, words string, start int, word string, `a.b` int, `c``[d]` string"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    return spark.createDataFrame([(i, t, lang, "s", 0, 0, 0, "", 0, "") for i, t, lang in ODD], SCHEMA)
+    return spark.createDataFrame([(i, t, lang, "s", 0, 0, 0, "", 0, "", 0, "") for i, t, lang in ODD], SCHEMA)
 
 
 @pytest.fixture(scope="module")
