@@ -111,6 +111,19 @@ ORDER_COLUMNS = (
 )
 
 
+def sketch_rows(source: str) -> str:
+    """The exact columns of a profile of orders; the approximate ones are near."""
+    rows = []
+    for column, kind, numeric in ORDER_COLUMNS:
+        mean = f"round(avg(CAST({column} AS DOUBLE)), 6)" if numeric else "CAST(NULL AS DOUBLE)"
+        rows.append(
+            f"SELECT '{column}' AS \"column\", '{kind}' AS type, count(*) AS n, count(*) - count({column}) AS nulls, "
+            f"CAST(min({column}) AS VARCHAR) AS min, CAST(max({column}) AS VARCHAR) AS max, {mean} AS mean, "
+            f"true AS distinct_near, true AS quantiles_near FROM {source}"
+        )
+    return " UNION ALL ".join(rows)
+
+
 def suite_rows() -> str:
     rows = []
     for column, kind, numeric in ORDER_COLUMNS:
@@ -407,6 +420,20 @@ ORACLES = {
         FROM ({MONTHS_OF_ORDERS})""",
     "q_partition_prune": f"SELECT * FROM ({MONTHS_OF_ORDERS}) WHERE year = '1998' AND month = '03'",
     "q_table_scan": f"SELECT * FROM ({MONTHS_OF_ORDERS}) WHERE month BETWEEN '03' AND '10'",
+    "q_profile_sketch": sketch_rows("orders"),
+    "q_profile_merged": sketch_rows(
+        "(SELECT * REPLACE (CASE WHEN month(o_orderdate) = 1 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice) FROM orders)"
+    ),
+    "q_sample_repeated": """
+        WITH t AS (SELECT count(*) AS n FROM orders)
+        SELECT fact, CASE WHEN fact IN ('rows', 'of the table', 'distinct') THEN least(n, 1000) WHEN fact = 'not in the second' THEN 0
+          WHEN fact = 'mean is near' THEN 1 ELSE CASE WHEN n > 1000 THEN 1 ELSE 0 END END AS n
+        FROM t, (VALUES ('rows'), ('of the table'), ('distinct'), ('not in the second'), ('other seed is another choice'), ('mean is near')) AS f(fact)""",
+    "q_sized_layout": """
+        WITH m AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN '00' ELSE strftime(o_orderdate, '%m') END AS month FROM orders),
+        t AS (SELECT count(*) AS total FROM orders)
+        SELECT month, greatest(CAST(ceil(count(*) * 10 / any_value(total)) AS BIGINT), 1) AS n_files, count(*) AS n_rows, true AS none_far_over
+        FROM m, t GROUP BY month""",
     "q_bounded_sample": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10000",
     "q_bronze": f"""
         WITH {RAW}

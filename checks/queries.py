@@ -190,8 +190,52 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(table(spark, sf_dir, "orders"), exact=True)
 
 
+def _held_against_rows(df: DataFrame, sketch: DataFrame, share: float) -> DataFrame:
+    """A profile's exact columns, and whether its approximate ones are as near to all rows as their errors allow.
+
+    A quantile is near if the share of rows up to it, with those equal to it or without, is within ``share`` of its own.
+    """
+    found = sketch.collect()
+    counts = [F.count_distinct(f"`{r['column']}`").alias(f"d{i}") for i, r in enumerate(found)]
+    for i, r in enumerate(found):
+        for name, q in zip(quality.PROFILE_COLUMNS[-3:], quality.QUANTILES, strict=True):
+            column = F.col(f"`{r['column']}`")
+            if r[name] is not None:
+                below, upto = (F.count_if(test) / F.count(column) for test in (column < r[name], column <= r[name]))
+                counts.append(((below <= q + share) & (upto >= q - share)).alias(f"{name}_{i}"))
+            else:
+                counts.append(F.lit(True).alias(f"{name}_{i}"))
+    near = df.agg(*counts)
+    rows = [
+        F.struct(
+            F.lit(r["column"]).alias("column"),
+            (F.abs(F.col(f"d{i}") - r["distinct"]) <= F.col(f"d{i}") * 0.1).alias("distinct_near"),
+            (F.col(f"q25_{i}") & F.col(f"q50_{i}") & F.col(f"q75_{i}")).alias("quantiles_near"),
+        )
+        for i, r in enumerate(found)
+    ]
+    exact = sketch.select("column", "type", "n", "nulls", "min", "max", "mean")
+    return exact.join(near.select(F.inline(F.array(*rows))), "column")
+
+
 def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.profile(table(spark, sf_dir, "orders"))
+    """The default profile in one scan; its approximate columns are held against all rows."""
+    orders = table(spark, sf_dir, "orders")
+    return _held_against_rows(orders, quality.profile(orders), 0.01)
+
+
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from stored sketches of the months, after January was published anew with other prices."""
+    keys = ["year", "month"]
+    src, parts = scratch_path(spark, "orders"), scratch_path(spark, "sketches")
+    monthly = _orders_by_month(spark, sf_dir)
+    published.publish(spark, published.stage(lake.repartition_for_write(monthly, "rebalance", keys), src, keys))
+    jobs.refresh_profile(spark, src, parts, keys)
+    again = monthly.where("month = '01'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    published.publish(spark, published.stage(again, src, keys))
+    jobs.refresh_profile(spark, src, parts, keys)
+    merged = quality.merged_profile(published.read_published(spark, parts, keys), keys)
+    return _held_against_rows(published.read_published(spark, src, keys).drop(*keys), merged, 0.02)
 
 
 def suite_from_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,6 +521,46 @@ def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.bounded_sample(table(spark, sf_dir, "orders"), 10_000, ["o_orderkey"])
 
 
+def sample_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform choice of rows: its size, that it is the same twice, of the table, and near the table in its mean."""
+    orders = table(spark, sf_dir, "orders")
+    n = 1000
+    first, second = (lake.bounded_sample(orders, n) for _ in range(2))
+    other = lake.bounded_sample(orders, n, seed=1)
+    whole = orders.agg(F.avg("o_totalprice").alias("mean"), F.stddev_pop("o_totalprice").alias("spread")).first()
+    near = first.agg(F.avg("o_totalprice").alias("mean"), F.count(F.lit(1)).alias("k"))
+    # a mean of k rows is within five of its standard deviations
+    close = F.abs(F.col("mean") - (whole.mean or 0.0)) <= 5 * (whole.spread or 0.0) / F.sqrt("k")
+
+    def answer(name: str, df: DataFrame, value: Column) -> DataFrame:
+        return df.agg(value.alias("n")).select(F.lit(name).alias("fact"), F.col("n").cast("long").alias("n"))
+
+    rows = F.count(F.lit(1))
+    return (
+        answer("rows", first, rows)
+        .unionByName(answer("of the table", first.join(orders, orders.columns, "left_semi"), rows))
+        .unionByName(answer("distinct", first.select("o_orderkey").distinct(), rows))
+        .unionByName(answer("not in the second", first.exceptAll(second), rows))
+        .unionByName(answer("other seed is another choice", first.exceptAll(other), F.least(rows, F.lit(1))))
+        .unionByName(answer("mean is near", near, F.count_if(close)))
+    )
+
+
+def sized_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a third of all rows in one month, written in files of a tenth of the input each: files per month, none far over."""
+    orders = table(spark, sf_dir, "orders")
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit("00")).otherwise(F.date_format("o_orderdate", "MM"))
+    monthly = orders.withColumn("month", hot)
+    path = scratch_path(spark, "sized")
+    # a row counts as a hundred bytes, so that the numbers do not depend on how well the rows compress
+    total = orders.count()
+    lake.write_partitioned(lake.repartition_for_write(monthly, "sized", ["month"], total * 100, total * 10), path, ["month"])
+    files = lake.read_partition(spark, path, ["month"]).groupBy("month", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"), (F.max("n") <= total * 0.105 + 1).alias("none_far_over")
+    )
+
+
 def _done(report):
     if not report.ok:
         raise RuntimeError(f"{report.job}: {report.status}") from report.error
@@ -809,6 +893,7 @@ QUERIES = {
     "q_quality_sample": quality_sample,
     "q_profile": profile,
     "q_profile_sketch": profile_sketch,
+    "q_profile_merged": profile_merged,
     "q_suite_from_profile": suite_from_profile,
     "q_norm_name": norm_names,
     "q_similar_names": similar_names,
@@ -835,6 +920,8 @@ QUERIES = {
     "q_partition_prune": partition_prune,
     "q_table_scan": table_scan,
     "q_bounded_sample": bounded_sample,
+    "q_sample_repeated": sample_repeated,
+    "q_sized_layout": sized_layout,
     "q_bronze": bronze_job,
     "q_silver_job": silver_job,
     "q_silver_report": silver_report,

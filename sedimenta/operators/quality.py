@@ -328,6 +328,73 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
+#: Size of the stored sketches, as the logarithm of a distinct-count sketch's registers and the number of a quantile sketch's points.
+HLL_LOG_SIZE = 12
+KLL_SIZE = 400
+
+
+def profile_parts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per partition: ``_rows``, and for each profiled column its counts, bounds, sum and two sketches.
+
+    Sketches of several partitions merge to those of all, so a profile of the table needs no rows again. A part is a
+    few kilobytes a column, however many rows the partition has.
+    """
+    columns = []
+    for f in _profiled(df.drop(*keys)):
+        c, number = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType)
+        # sketches know whole numbers, doubles, texts and bytes
+        sketched = c if isinstance(f.dataType, StringType) else c.cast("string")
+        columns.append(
+            F.struct(
+                F.count(c).alias("values"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
+                (F.sum(_number(f)) if number else F.first(_number(f))).alias("sum"),
+                F.hll_sketch_agg(sketched, F.lit(HLL_LOG_SIZE)).alias("distinct"),
+                F.kll_sketch_agg_double(_number(f), F.lit(KLL_SIZE)).alias("points"),
+            ).alias(f.name)
+        )
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *columns)
+
+
+def merged_profile(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The profile of all rows from the parts of all partitions, in the form of ``profile``.
+
+    Counts, bounds and means are exact. With these sizes a distinct count is off by 1.6 % in one standard deviation, and
+    the rank of a quantile by 0.8 % at most, at a confidence of 99 %; merging adds nothing to either.
+    """
+    aggregates, rows = [F.sum("_rows").alias("n")], []
+    for i, f in enumerate(f for f in parts.schema if f.name not in (*keys, "_rows")):
+        kind = f.dataType["min"].dataType
+
+        def part(name: str, field: str = f.name) -> Column:
+            return F.col(f"`{field}`")[name]
+
+        values = F.sum(part("values"))
+        points = F.kll_merge_agg_double(part("points"))
+        aggregates += [
+            values.alias(f"c{i}"),
+            F.min(part("min")).cast("string").alias(f"lo{i}"),
+            F.max(part("max")).cast("string").alias(f"hi{i}"),
+            F.round(F.sum(part("sum")) / F.nullif(values, F.lit(0)), 6).alias(f"m{i}"),
+            F.hll_sketch_estimate(F.hll_union_agg(part("distinct"))).alias(f"d{i}"),
+            points.alias(f"p{i}"),
+        ]
+        known = F.col(f"c{i}") > 0 if isinstance(kind, NumericType) else F.lit(False)
+        quantiles = [
+            F.when(known, F.kll_sketch_get_quantile_double(F.col(f"p{i}"), F.lit(q))).alias(name)
+            for q, name in zip(QUANTILES, PROFILE_COLUMNS[-3:], strict=True)
+        ]
+        rows.append(
+            F.struct(
+                F.lit(f.name).alias("column"), F.lit(kind.simpleString()).alias("type"), F.col("n"),
+                (F.col("n") - F.col(f"c{i}")).alias("nulls"), F.col(f"d{i}").alias("distinct"),
+                F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"), F.col(f"m{i}").alias("mean"), *quantiles,
+            )
+        )
+    return parts.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
 def value_sets(df: DataFrame, limit: int) -> DataFrame:
     """``column, values`` of the text columns; ``values`` is null where there are more than ``limit``.
 

@@ -28,6 +28,7 @@ from sedimenta.operators.quality import (
     load_suite,
     passed,
     profile,
+    profile_parts,
     quality_report,
     report_from_metrics,
     save_suite,
@@ -151,6 +152,17 @@ def _observed_write(
     return seen.get, None
 
 
+def _input_bytes(spark: SparkSession, src: str | Iterable[str], policy: BronzePolicy) -> int:
+    """Bytes of all raw files, from the manifest if one is kept, else from a listing."""
+    files = manifest.files(spark, policy.manifest_path) if policy.manifest_path else file_catalog(spark, src, policy.glob)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def _files_bytes(spark: SparkSession, df: DataFrame) -> int:
+    """Bytes of the files that a plain scan reads."""
+    return df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+
+
 def _previews(spark: SparkSession, path: str, keys: Sequence[str], n: int) -> dict[str, DataFrame]:
     return {"preview": preview(read_layer(spark, path, keys), n)} if n else {}
 
@@ -172,7 +184,8 @@ def run_bronze(spark: SparkSession, src: str | Iterable[str], dst: str, policy:
     if policy.mode == "static" and is_empty(df):
         return RunReport("bronze", "no_data", skipped=skipped)
     keyed = require(with_year_month(df, policy.ts_col), policy.keys)
-    arranged = repartition_for_write(keyed, policy.layout, policy.keys)
+    size = _input_bytes(spark, src, policy) if policy.layout == "sized" else None
+    arranged = repartition_for_write(keyed, policy.layout, policy.keys, size)
     seen, _ = _observed_write(arranged, dst, policy.keys, policy.mode)
     if not seen["rows"]:
         return RunReport("bronze", "no_data", skipped=skipped)
@@ -195,7 +208,9 @@ def run_silver(spark: SparkSession, src: str, dst: str, spec: SilverSpec) -> Run
     df = silver(bronze, spec)
     if spec.on_fail == "raise" and spec.mode != "publish":
         enforce(quality_report(df, spec.suite))
-    arranged = repartition_for_write(df, spec.layout, spec.keys)
+    # silver is about as large as the partitions of bronze that it comes from
+    size = _files_bytes(spark, bronze) if spec.layout == "sized" else None
+    arranged = repartition_for_write(df, spec.layout, spec.keys, size)
     seen, staged = _observed_write(arranged, dst, spec.keys, spec.mode, spec.suite, spec.on_fail)
     report = report_from_metrics(spark, spec.suite, seen)
     failed = [e.kind + " " + e.column for i, e in enumerate(spec.suite) if not passed(e, seen[f"e{i}"], seen[f"v{i}"])]
@@ -211,25 +226,40 @@ def run_silver(spark: SparkSession, src: str, dst: str, spec: SilverSpec) -> Run
     return RunReport("silver", "ok", rows=seen["rows"], quality=report, frames=frames)
 
 
-def refresh_means(spark: SparkSession, src: str, parts: str, spec: MartSpec) -> list[str]:
-    """Bring the stored parts of both means to the published table ``src``; returns the partitions that were read.
+def refresh_parts(
+    spark: SparkSession, src: str, dst: str, keys: Sequence[str], made: Callable[[DataFrame], DataFrame]
+) -> list[str]:
+    """Bring a table of parts to the published table ``src``; returns the partitions that were read.
 
-    Each partition of the parts remembers the run that its rows come from, so only partitions that another run has
-    published since are read, and those that left the table leave the parts.
+    ``made`` makes the parts of some partitions from their rows, and keeps ``keys``. Each partition of the parts remembers
+    the run that its rows come from, so only partitions that another run has published since are read, and
+    those that left the table leave the parts.
     """
     runs = {r.folder: r.run for r in current(spark, src).collect()}
-    made = {r.folder: r.source for r in current(spark, parts).collect()} if is_published(spark, parts) else {}
-    touched = sorted(f for f, run in runs.items() if made.get(f) != run)
-    gone = sorted(f for f in made if f not in runs)
-    if touched or gone:
-        # with nothing touched, any folder gives the columns
-        folders = [(runs[f], f) for f in touched or list(runs)[:1]]
-        rows = read_folders(spark, src, spec.keys, folders)
-        table = mean_parts_table(rows if touched else rows.limit(0), spec.keys, spec.amount, spec.ts, spec.passengers, spec.scale)
-        publish(spark, stage(table, parts, spec.keys), runs, drop=gone)
+    known = {r.folder: r.source for r in current(spark, dst).collect()} if is_published(spark, dst) else {}
+    touched = sorted(f for f, run in runs.items() if known.get(f) != run)
+    gone = sorted(f for f in known if f not in runs)
+    if touched:
+        rows = read_folders(spark, src, keys, [(runs[f], f) for f in touched])
+        publish(spark, stage(made(rows), dst, keys), runs, drop=gone)
+    elif gone:
+        publish(spark, Staged(dst, "", ()), drop=gone)
     return touched
 
 
+def refresh_means(spark: SparkSession, src: str, parts: str, spec: MartSpec) -> list[str]:
+    """Bring the stored parts of both means to the published table ``src``; returns the partitions that were read."""
+    return refresh_parts(
+        spark, src, parts, spec.keys,
+        lambda rows: mean_parts_table(rows, spec.keys, spec.amount, spec.ts, spec.passengers, spec.scale),
+    )
+
+
+def refresh_profile(spark: SparkSession, src: str, parts: str, keys: Sequence[str]) -> list[str]:
+    """Bring the stored sketches of a published table up to date; see ``merged_profile``."""
+    return refresh_parts(spark, src, parts, keys, lambda rows: profile_parts(rows, keys))
+
+
 @_reported("marts")
 def run_marts(spark: SparkSession, table: str, path: str, spec: MartSpec, schema: StructType | None = None) -> RunReport:
     """Register the silver table and define both means over it, or over its parts where those are kept."""

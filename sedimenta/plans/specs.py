@@ -36,7 +36,8 @@ class BronzePolicy:
     """``layout`` and ``mode`` as in ``repartition_for_write`` and ``write_partitioned``.
 
     With ``mode="publish"`` partitions are written aside and become current in one step. ``manifest_path`` keeps the catalog
-    of files, so that a later run opens new and changed ones only. ``preview`` rows of the result go into the report.
+    of files, so that a later run opens new and changed ones only. ``layout="sized"`` takes the bytes of the input from
+    that catalog. ``preview`` rows of the result go into the report.
     """
 
     mapping: MappingPolicy

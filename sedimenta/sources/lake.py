@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sedimenta.session import materialize
 
 
 class SourceMissing(Exception):
     """The input path does not exist."""
 
 
+#: Tasks whose best rows one other task merges.
+MERGED_AT_ONCE = 16
+
+
 def is_empty(df: DataFrame) -> bool:
     """True when there is no row; looks for one row instead of counting all."""
     return df.isEmpty()
@@ -95,21 +101,58 @@ def escaped(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
 
 
-def repartition_for_write(df: DataFrame, layout: str | int = "none", keys: Sequence[str] = ()) -> DataFrame:
+#: Bytes of a file that a sized layout aims at.
+FILE_BYTES = 128 << 20
+
+
+def repartition_for_write(
+    df: DataFrame,
+    layout: str | int = "none",
+    keys: Sequence[str] = (),
+    input_bytes: int | None = None,
+    file_bytes: int = FILE_BYTES,
+) -> DataFrame:
     """Arrange rows before a partitioned write.
 
     ``none``       no shuffle; right when each input file already covers few partitions.
     ``rebalance``  shuffle by ``keys``; adaptive execution splits a hot key over several tasks and
                    merges small ones, so no task has to hold a whole large partition.
+    ``sized``      as many files for a partition as its share of ``input_bytes`` makes files of ``file_bytes``; the rows
+                   of a partition are counted first, which reads the columns that ``keys`` come from.
     a number       round-robin into that many tasks.
     """
     if layout == "none":
         return df
     if layout == "rebalance":
         return df.hint("rebalance", *[F.col(k) for k in keys])
+    if layout == "sized":
+        return _sized(df, keys, input_bytes, file_bytes)
     return df.repartition(int(layout))
 
 
+def file_counts(counts: DataFrame, input_bytes: int, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``_files`` for each partition from its ``_rows``: its share of all bytes in files of at most ``file_bytes``."""
+    total = counts.agg(F.sum("_rows")).first()[0] or 1
+    share = F.col("_rows") * F.lit(input_bytes / total / file_bytes)
+    return counts.withColumn("_files", F.greatest(F.ceil(share), F.lit(1)).cast("int"))
+
+
+def _sized(df: DataFrame, keys: Sequence[str], input_bytes: int | None, file_bytes: int) -> DataFrame:
+    if input_bytes is None:
+        raise ValueError("a sized layout needs the bytes of its input")
+    counts = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    files = materialize(file_counts(materialize(counts, "rows"), input_bytes, file_bytes).drop("_rows"), "layout")
+    tasks = int(files.agg(F.sum("_files")).first()[0] or 1)
+    same = [df[k].eqNullSafe(files[k]) for k in keys]
+    # one row per partition of the table; the number of a row within its task spreads a partition's rows evenly
+    spread = (
+        df.withColumn("_place", F.monotonically_increasing_id())
+        .join(F.broadcast(files), reduce(lambda a, b: a & b, same))
+        .select(*[df[c] for c in df.columns], F.pmod("_place", "_files").alias("_file"))
+    )
+    return spread.repartition(tasks, *keys, "_file").drop("_file")
+
+
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str = "dynamic") -> None:
     """Overwrite as partitioned Parquet; failures are raised.
 
@@ -121,14 +164,33 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
     df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(path)
 
 
-def bounded_sample(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
-    """``n`` rows, the first ones if an order is named, as a small table of its own.
+def bounded_sample(df: DataFrame, n: int, order_by: Sequence[str] | None = None, seed: int = 0) -> DataFrame:
+    """``n`` rows as a small table of its own: the first ones if an order is named, else a uniform choice.
 
-    Without an order partitions are tried a few at a time until there are enough rows, so a large
-    table is not scanned. The rows are fetched once: every use of the sample sees the same ones.
+    The choice takes the rows whose numbers have the least hashes, so it is the same each time while the files and
+    their splits stay as they are. The row count gives a bound that only a few more than ``n`` hashes are below. The best
+    rows of each task are merged in groups of tasks and then once more, so no task merges those of all others. The
+    rows are written by the tasks and never pass through the driver; every use of the sample sees the same ones.
     """
-    rows = df.orderBy(*order_by).take(n) if order_by else df.take(n)
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    if order_by:
+        return materialize(_first_rows(df, n, [F.col(c) for c in order_by]).drop("_group"), "sample")
+    total = df.count()
+    # five standard deviations above n
+    bound = min(1.0, (n + 5 * n**0.5 + 25) / max(total, 1))
+    hashed = df.withColumn("_hash", F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)))
+    if bound < 1:
+        hashed = hashed.where(F.col("_hash") <= min(int((2 * bound - 1) * 2**63), 2**63 - 1))
+    return materialize(_first_rows(hashed, n, [F.col("_hash")]).drop("_hash", "_group"), "sample")
+
+
+def _first_rows(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    tasks = df.rdd.getNumPartitions()
+    groups = int(tasks**0.5)
+    if groups > MERGED_AT_ONCE:
+        grouped = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(groups)))
+        best = Window.partitionBy("_group").orderBy(*order)
+        df = grouped.withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= n).drop("_nth")
+    return df.orderBy(*order).limit(n)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

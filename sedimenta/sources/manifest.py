@@ -82,16 +82,19 @@ def refresh(
     one_each = opened.where("error is not null or pos = 0").select("path", "fingerprint", "error")
     new = fresh.join(one_each, "path").select(*IDENTITY, "fingerprint", "error", F.lit(True).alias("opened"))
     kept = old.join(listing, _same(old, listing), "left_semi").withColumn("opened", F.lit(False))
-    files = materialize(kept.unionByName(new), "files")
-    counts = files.agg(F.count(F.lit(1)).alias("listed"), F.count_if("opened").alias("opened")).first()
+    now = materialize(kept.unionByName(new), "files")
+    counts = now.agg(F.count(F.lit(1)).alias("listed"), F.count_if("opened").alias("opened")).first()
     gone = old.join(listing, _same(old, listing, ["path"]), "left_anti").count()
-    publish(spark, stage(files.drop("opened"), files_at))
+    publish(spark, stage(now.drop("opened"), files_at))
     return Refresh(counts.listed, counts.opened, counts.listed - counts.opened, gone)
 
 
+def files(spark: SparkSession, base: str) -> DataFrame:
+    """``path, length, modified, fingerprint, error`` of all files."""
+    return _stored(spark, _tables(base)[0], FILES)
+
+
 def catalog(spark: SparkSession, base: str) -> DataFrame:
     """The manifest as ``schema_catalog`` gives it: one row per file and column, or one with the ``error``."""
-    files_at, schemas_at = _tables(base)
-    files = read_published(spark, files_at, schema=StructType(DataType.fromDDL(FILES).fields))
-    columns = _stored(spark, schemas_at, SCHEMAS)
-    return files.join(columns, "fingerprint", "left").select("path", "fingerprint", "pos", "name", "type", "sql_type", "error")
+    columns = _stored(spark, _tables(base)[1], SCHEMAS)
+    return files(spark, base).join(columns, "fingerprint", "left").select("path", "fingerprint", "pos", "name", "type", "sql_type", "error")
