@@ -1,4 +1,4 @@
-"""Language-model scores with backoff, from the counts of all n-grams.
+"""Language-model scores by weighted backoff automata, from the counts of all n-grams.
 
 The model: an n-gram of two or three words that occurs at least LEAST times in the training documents has its
 discounted share of its history's count; any other backs off to the next shorter history, with the weight that makes
@@ -7,13 +7,18 @@ probabilities sum to one. Single words have add-one shares. LEAST is fixed, so t
 Documents are read once and packed, as word numbers, into slices of about SLICE_BYTES. A slice counts its distinct
 n-grams and sends the counts to buckets, which are ranges of keys; a bucket adds them up and answers each slice with the
 totals. Words and pairs go first; triples only follow if both of their pairs occur LEAST times, as the others cannot. The
-first slice of an n-gram adds its share to its history, once over all; histories are summed and answered likewise, and
-each slice scores its documents from complete counts and weights. Slices and buckets grow in number with the corpus, so
-no task holds more of a larger one. An n-gram comes at most once from a slice, so a frequent one makes no bucket hot.
-Nothing is broadcast.
+first slice of an n-gram adds its share to its history, once over all; histories are summed and answered likewise. Then
+each slice has complete counts and weights, builds its automaton from them, and runs its texts through it: a state is a
+history with n-grams of its own, an arc a kept n-gram, and where a state has no arc for a word its failure arc leads to the next
+shorter history at the price of its weight. Texts are cut into runs that go left to right side by side, each carrying its state.
 
-Keys are hashes of 62 bits besides the order. Among a billion distinct n-grams of an order, two share a key with a
-chance of about 1 in 10; each such pair would be counted as one n-gram.
+Slices and answers are tables bucketed by slice, so a visit to the slices shuffles neither. Nothing is broadcast. A bucket holds the
+n-grams of a fixed number of tokens; slices and buckets grow in number with the corpus, and a slice sends a row to each bucket
+that it has n-grams for. These rows grow faster than the corpus until a bucket has less than one n-gram of a
+slice; there are never more of them than n-grams. The bucket of a frequent word has a row from every slice.
+
+Keys are hashes besides the order, of 62 bits for words and 50 bits for pairs and triples. Among a billion distinct words two
+share a key with a chance of about 1 in 10, and among a billion distinct pairs about 450 times two are counted as one.
 
 Defined results: a null text is empty, that is one end token. A null id counts as empty text when documents are
 split, so it is for training. Repeated rows count, and are scored, as often as they occur. An empty table gives
@@ -26,8 +31,6 @@ import math
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
@@ -35,11 +38,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.text import lowered_bytes
-from sedimenta.session import materialize, materialize_counting, ship
+from sedimenta.session import scratch_path, ship
 
 #: Least count of an n-gram with a share of its own.
 LEAST = 2
@@ -48,101 +51,14 @@ FOLDS, HELD_OUT = 7, 2
 #: Text of a slice, and tokens whose n-grams of one order go to one bucket.
 SLICE_BYTES, BUCKET_TOKENS = 8 << 20, 2 << 20
 ROW_BYTES = 16
-# Word numbers of the automaton: 20 bits each, so that three fit a long.
-_BITS = 20
-_START, _END, _FIRST = 0, 1, 2
+#: Slices to a table bucket, on average, and tokens that a run of the traversal goes on for.
+BUCKETED, RUN = 4, 256
 
 
 def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % FOLDS == HELD_OUT
 
 
-@dataclass(frozen=True)
-class Automaton:
-    """The same model in one piece, which the slices are tested against.
-
-    ``arcs[state][word]`` is (log10 weight, next state); state 0 is the root, where all frequent words have arcs.
-    """
-
-    unigrams: list[float]
-    arcs: list[dict[int, tuple[float, int]]]
-    failure: list[int]
-    weight: list[float]
-    start: int
-
-    def score(self, words: list[int]) -> float:
-        """Log10 probability of a numbered text; words without a number (-1) count as one here."""
-        arcs, failure, weight = self.arcs, self.failure, self.weight
-        state, total = self.start, 0.0
-        for word in words:
-            if word < 0:
-                while state:
-                    total += weight[state]
-                    state = failure[state]
-                continue
-            while (arc := arcs[state].get(word)) is None:
-                total += weight[state]
-                state = failure[state]
-            total += arc[0]
-            state = arc[1]
-        return total
-
-
-def build_automaton(
-    words: list[int], grams: list[dict[int, int]], tokens: int, distinct: int, documents: int
-) -> Automaton:
-    """From the counts of frequent words, frequent n-grams of each order from two on, and the totals."""
-    floor = tokens + distinct + 1
-    counts = [documents, documents, *words]
-    unigrams = [math.log10((n + 1) / floor) for n in counts]
-    # states: 0 is the root, each history with arcs has one
-    states: dict[tuple[int, int], int] = {(0, 0): 0}
-    for length, table in enumerate(grams, start=1):
-        for gram in table:
-            states.setdefault((length, gram >> _BITS), len(states))
-
-    def state_of(length: int, gram: int) -> int:
-        """The state of the longest suffix that is one."""
-        while length:
-            found = states.get((length, gram & ((1 << _BITS * length) - 1)))
-            if found is not None:
-                return found
-            length -= 1
-        return 0
-
-    longest = len(grams)
-    arcs: list[dict[int, tuple[float, int]]] = [{} for _ in states]
-    arcs[0] = {w: (unigrams[w], state_of(min(1, longest), w)) for w in range(_END, len(counts))}
-    kept, lower = [0.0] * len(states), [0.0] * len(states)
-    failure, weight = [0] * len(states), [0.0] * len(states)
-    for (length, history), state in states.items():
-        if length:
-            failure[state] = state_of(length - 1, history & ((1 << _BITS * (length - 1)) - 1))
-
-    def backed(state: int, word: int) -> float:
-        """Probability of a word behind a shorter history, whose weights are known already."""
-        total = 0.0
-        while (arc := arcs[state].get(word)) is None:
-            total += weight[state]
-            state = failure[state]
-        return 10 ** (total + arc[0])
-
-    for length, table in enumerate(grams, start=1):
-        histories = grams[length - 2] if length > 1 else None
-        for gram, n in table.items():
-            history, word = gram >> _BITS, gram & ((1 << _BITS) - 1)
-            seen = histories[history] if histories else counts[history]
-            state = states[length, history]
-            share = (n - DISCOUNT) / seen
-            kept[state] += share
-            lower[state] += backed(failure[state], word)
-            arcs[state][word] = (math.log10(share), state_of(min(length + 1, longest), gram))
-        for (size, _), state in states.items():
-            if size == length:
-                weight[state] = math.log10(max(1 - kept[state], 1e-12) / max(1 - lower[state], 1e-12))
-    return Automaton(unigrams, arcs, failure, weight, state_of(min(1, longest), _START))
-
-
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A hash of two hashes."""
     x = left * np.uint64(0x9E3779B97F4A7C15) + right
@@ -152,7 +68,10 @@ def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _keyed(hashes: np.ndarray, order: int) -> np.ndarray:
-    return (hashes >> np.uint64(2)) | np.uint64(order << 62)
+    kept = hashes >> np.uint64(2)
+    if order > 1:  # fewer bits, which a sorted column of keys holds in fewer bytes
+        kept = kept & ~np.uint64((1 << 12) - 1)
+    return kept | np.uint64(order << 62)
 
 
 def _hashed(word: bytes) -> int:
@@ -205,8 +124,13 @@ def _slicer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
         with pa.ipc.new_stream(out, carried.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
             stream.write_table(carried)
         sizes, words, hashes = _coded(docs["text"].to_pylist())
-        row = [[number], [len(words)], [out.getvalue().to_pybytes()], [_packed(sizes)], [_packed(words)], [_packed_keys(hashes)]]
-        kinds = [pa.int64()] * 2 + [pa.binary()] * 4
+        # the most frequent word as number 0 and so on, so that most tokens need one byte
+        common = np.argsort(-np.bincount(words, minlength=len(hashes)), kind="stable").astype(np.int32)
+        place = np.empty_like(common)
+        place[common] = np.arange(len(common), dtype=np.int32)
+        coded = [_packed(sizes), _packed(place[words]), _packed(common), _packed_keys(hashes)]
+        row = [[number], [len(words)], [out.getvalue().to_pybytes()], *[[c] for c in coded]]
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 5
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], _SLICE_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,8 +152,8 @@ def _slicer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
-_SLICE_NAMES = ["slice", "tokens", "docs", "sizes", "words", "hashes"]
-_SLICE = "slice long, tokens long, docs binary, sizes binary, words binary, hashes binary"
+_SLICE_NAMES = ["slice", "tokens", "docs", "sizes", "words", "common", "hashes"]
+_SLICE = "slice long, tokens long, docs binary, sizes binary, words binary, common binary, hashes binary"
 
 
 def _coded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,7 +180,8 @@ class _Grams:
 
     def __init__(self, row: dict) -> None:
         self.docs = pa.ipc.open_stream(row["docs"]).read_all()
-        self.sizes, self.words = _unpacked(row["sizes"], np.int64), _unpacked(row["words"], np.int32)
+        self.sizes = _unpacked(row["sizes"], np.int64)
+        self.words = _unpacked(row["common"], np.int32)[_unpacked(row["words"], np.int32)]
         hashes = _unpacked_keys(row["hashes"])
         self.starts = np.cumsum(self.sizes) - self.sizes
         train = ~self.docs["held_out"].to_numpy().astype(bool)
@@ -312,25 +237,80 @@ class _Grams:
         own, keys, ids = has & owned, self.keys[order - 1], self.histories[order - 1]
         return [keys[ids], *(np.bincount(head[own], weights=w[own], minlength=len(keys))[ids] for w in (share, lower))]
 
-    def scores(self, weights1: np.ndarray, weights2: np.ndarray) -> list[np.ndarray]:
+    def scores(self, weights1: np.ndarray, weights2: np.ndarray, run: int) -> list[np.ndarray]:
         """Per text: known tokens, add-one score and the model's."""
-        back1, back2 = np.zeros(len(self.keys[0])), np.zeros(len(self.keys[1]))
-        back1[self.histories[0]], back2[self.histories[1]] = weights1, weights2
-        word = np.log10(self.word)
-        pair = np.where(self.has2, np.log10(self.share2), back1[self.head2] + word[self.word2])
-        score = pair[self.pairs]
-        # behind two words or more, back off from the pair before unless the triple has a share
-        score[1:] += np.where(self._behind_start(), 0, back2[self.pairs[:-1]])
-        score[self.at3] = np.where(self.has3, np.log10(self.share3), back2[self.head3] + pair[self.tail3])[self.inverse3]
-        known, base = self.known[self.words].astype(np.int64), word[self.words]
+        known, base = self.known[self.words].astype(np.int64), np.log10(self.word)[self.words]
+        score = _Automaton(self, weights1, weights2).traversed(run)
         for each in (known, base, score):
             each[self.starts] = 0
         return [np.add.reduceat(each, self.starts) for each in (known, base, score)]
 
-    def _behind_start(self) -> np.ndarray:
-        first = np.zeros(len(self.words), bool)
-        first[self.starts] = True
-        return first[:-1]
+
+class _Automaton:
+    """Transition and failure arrays over the n-grams of a slice.
+
+    State 0 is the root; then come the words and the pairs that are histories of kept n-grams. Arcs are
+    numbered like n-grams: words, which leave the root, then pairs, which leave words, then triples, which leave pairs.
+    """
+
+    def __init__(self, grams: _Grams, weights1: np.ndarray, weights2: np.ndarray) -> None:
+        self.grams = grams
+        words, pairs, triples = len(grams.keys[0]), len(grams.keys[1]), len(grams.three)
+        ones, twos = grams.histories
+        word_state, pair_state = np.zeros(words, np.int32), np.zeros(pairs, np.int32)
+        word_state[ones] = 1 + np.arange(len(ones), dtype=np.int32)
+        pair_state[twos] = 1 + len(ones) + np.arange(len(twos), dtype=np.int32)
+        #: how many words a state remembers, the price of leaving it, and where that leads
+        self.order = np.repeat(np.array([0, 1, 2], np.int8), [1, len(ones), len(twos)])
+        self.weight = np.concatenate([[0.0], weights1, weights2])
+        self.failure = np.zeros(len(self.order), np.int32)
+        self.failure[pair_state[twos]] = word_state[grams.word2[twos]]
+        #: the state behind a pair: its own, or that of its last word
+        self.behind_word = word_state
+        self.behind_pair = np.where(pair_state > 0, pair_state, word_state[grams.word2])
+        self.first_pair, self.first_triple = words, words + pairs
+        self.exists = np.concatenate([np.ones(words, bool), grams.has2, grams.has3, [False]])
+        shares = np.concatenate([grams.word, grams.share2, grams.share3, [1.0]])
+        self.arc = np.log10(shares)
+        self.next = np.concatenate([word_state, self.behind_pair, self.behind_pair[grams.tail3], [0]]).astype(np.int32)
+        # the triple that ends at each place; the last number is that of none
+        self.triples = np.full(len(grams.words), triples, np.int32)
+        self.triples[grams.at3] = grams.inverse3
+
+    def _runs(self, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First places, lengths and first states of the runs, the longest first; the start of a text has no score."""
+        grams = self.grams
+        firsts, lengths = grams.starts + 1, grams.sizes - 1
+        pieces = -(-lengths // run)
+        text = np.repeat(np.arange(len(pieces)), pieces)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = firsts[text] + number * run
+        length = np.minimum(run, lengths[text] - number * run)
+        # a run inside a text begins in the state that its last two words lead to
+        state = np.where(
+            number == 0, self.behind_word[grams.words[begin - 1]], self.behind_pair[grams.pairs[begin - 1]]
+        )
+        order = np.argsort(-length, kind="stable")
+        return begin[order], length[order], state[order]
+
+    def traversed(self, run: int) -> np.ndarray:
+        """Log10 probability of the token at each place, from one pass over each run that carries its state."""
+        grams, out = self.grams, np.zeros(len(self.grams.words))
+        begin, length, state = self._runs(run)
+        for step in range(int(length.max(initial=0))):
+            running = int(np.searchsorted(-length, -step, side="left"))
+            place, at = begin[:running] + step, state[:running]
+            total = np.zeros(running)
+            arcs = [grams.words[place], self.first_pair + grams.pairs[place], self.first_triple + self.triples[place]]
+            for order in (2, 1):
+                missing = (self.order[at] == order) & ~self.exists[arcs[order]]
+                total[missing] += self.weight[at[missing]]
+                at = np.where(missing, self.failure[at], at)
+            order = self.order[at]
+            arc = np.where(order == 2, arcs[2], np.where(order == 1, arcs[1], arcs[0]))
+            out[place] = total + self.arc[arc]
+            state[:running] = self.next[arc]
+        return out
 
 
 def _sent(number: int, bounds: np.ndarray, keys: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
@@ -391,33 +371,41 @@ def _add(table: pa.Table) -> pa.Table:
     )
 
 
-def _answered(sent: DataFrame, turn: int) -> DataFrame:
+def _add_to(df: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Write rows into a table that is bucketed by slice; a first call makes the table."""
+    df.write.mode("append").bucketBy(buckets, "slice").option("path", path).saveAsTable(table)
+
+
+def _answer(sent: DataFrame, turn: int, table: str, path: str, buckets: int) -> None:
     made = sent.groupBy("bucket").applyInArrow(_add, "slice long, bucket long, answer binary, tokens long, distinct long")
-    with _shuffles_released(sent.sparkSession):
-        return materialize(made.withColumn("turn", F.lit(turn)), "ngram-answers")
+    _add_to(made.withColumn("turn", F.lit(turn)).repartition(buckets, "slice"), table, path, buckets)
 
 
-@contextmanager
-def _shuffles_released(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when their query has ended, not when the driver happens to collect its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, with its settings, in which shuffle files go when their query has ended and not
+    when the driver happens to collect its garbage."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return own
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: fold, token counts, the add-one unigram score and the model's, both log10."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     plain = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"), held_out(docs[key]).alias("held_out"))
-    slices, size = materialize_counting(plain.mapInArrow(_slicer(SLICE_BYTES), _SLICE), F.sum("tokens"), "slices")
-    bits = math.ceil(math.log2(max((size or 0) / BUCKET_TOKENS, 1)))
+    size = plain.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    buckets, run = max(1, -(-size // (SLICE_BYTES * BUCKETED))), RUN
+    paths = [scratch_path(spark, label) for label in ("slices", "ngram-answers")]
+    names = [path.rsplit("/", 1)[1].replace("-", "_") for path in paths]
+    seen = Observation()
+    sliced = plain.mapInArrow(_slicer(SLICE_BYTES), _SLICE).observe(seen, F.sum("tokens").alias("tokens"))
+    _add_to(sliced, names[0], paths[0], buckets)
+    bits = math.ceil(math.log2(max((seen.get["tokens"] or 0) / BUCKET_TOKENS, 1)))
+    own = _own_session(spark)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -425,8 +413,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 grams = _Grams(row)
                 yield _sent(row["slice"], _bounds(bits), np.concatenate(grams.keys), np.concatenate(grams.counts))
 
-    counts = _answered(slices.mapInArrow(count, _SENT), 1)
-    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "distinct")]).first()
+    _answer(own.table(names[0]).mapInArrow(count, _SENT), 1, names[1], paths[1], buckets)
+    totals = own.table(names[1]).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "distinct")]).first()
     tokens = totals["tokens"]
     floor = tokens + totals["distinct"] + 1
 
@@ -451,19 +439,24 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def score(part: pa.Table, answers: pa.Table) -> pa.Table:
         _, grams = grams_of(part, answers, 4)
         weights = [_answers(answers, turn, (order,), bits, np.float64) for turn, order in ((2, 1), (3, 2))]
-        known, base, model = grams.scores(*weights)
+        known, base, model = grams.scores(*weights, run)
         columns = [*grams.docs.columns, grams.sizes - 1, known, np.full(len(base), tokens, np.int64), base, model]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    def visit(answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], columns: str) -> DataFrame:
-        return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(work, columns)
+    def visit(session: SparkSession, work: Callable[[pa.Table, pa.Table], pa.Table], columns: str) -> DataFrame:
+        slices, answers = (session.table(name).groupBy("slice") for name in names)
+        return slices.cogroup(answers).applyInArrow(work, columns)
 
-    more = _answered(visit(counts, second, _SENT), 2)
-    answers = counts.unionByName(more)
-    answers = answers.unionByName(_answered(visit(answers, third, _SENT), 3))
+    _answer(visit(own, second, _SENT), 2, names[1], paths[1], buckets)
+    _answer(visit(own, third, _SENT), 3, names[1], paths[1], buckets)
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return visit(
-        answers,
+    scored = visit(
+        spark,
         score,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
+    # the plan has found the files; the names have done their work
+    scored.schema  # noqa: B018
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return scored

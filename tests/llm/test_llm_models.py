@@ -6,6 +6,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -14,6 +15,97 @@ import pytest
 from sedimenta.llm import language_id, language_model, licenses, token_counts
 
 
+# Word numbers of 20 bits each, so that three fit a long.
+_BITS = 20
+_START, _END, _FIRST = 0, 1, 2
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """The model of a whole corpus in one piece, which the slices are tested against.
+
+    ``arcs[state][word]`` is (log10 weight, next state); state 0 is the root, where all frequent words have arcs.
+    """
+
+    unigrams: list[float]
+    arcs: list[dict[int, tuple[float, int]]]
+    failure: list[int]
+    weight: list[float]
+    start: int
+
+    def score(self, words: list[int]) -> float:
+        """Log10 probability of a numbered text; words without a number (-1) count as one here."""
+        arcs, failure, weight = self.arcs, self.failure, self.weight
+        state, total = self.start, 0.0
+        for word in words:
+            if word < 0:
+                while state:
+                    total += weight[state]
+                    state = failure[state]
+                continue
+            while (arc := arcs[state].get(word)) is None:
+                total += weight[state]
+                state = failure[state]
+            total += arc[0]
+            state = arc[1]
+        return total
+
+
+def build_automaton(
+    words: list[int], grams: list[dict[int, int]], tokens: int, distinct: int, documents: int
+) -> Automaton:
+    """From the counts of frequent words, frequent n-grams of each order from two on, and the totals."""
+    floor = tokens + distinct + 1
+    counts = [documents, documents, *words]
+    unigrams = [math.log10((n + 1) / floor) for n in counts]
+    # states: 0 is the root, each history with arcs has one
+    states: dict[tuple[int, int], int] = {(0, 0): 0}
+    for length, table in enumerate(grams, start=1):
+        for gram in table:
+            states.setdefault((length, gram >> _BITS), len(states))
+
+    def state_of(length: int, gram: int) -> int:
+        """The state of the longest suffix that is one."""
+        while length:
+            found = states.get((length, gram & ((1 << _BITS * length) - 1)))
+            if found is not None:
+                return found
+            length -= 1
+        return 0
+
+    longest = len(grams)
+    arcs: list[dict[int, tuple[float, int]]] = [{} for _ in states]
+    arcs[0] = {w: (unigrams[w], state_of(min(1, longest), w)) for w in range(_END, len(counts))}
+    kept, lower = [0.0] * len(states), [0.0] * len(states)
+    failure, weight = [0] * len(states), [0.0] * len(states)
+    for (length, history), state in states.items():
+        if length:
+            failure[state] = state_of(length - 1, history & ((1 << _BITS * (length - 1)) - 1))
+
+    def backed(state: int, word: int) -> float:
+        """Probability of a word behind a shorter history, whose weights are known already."""
+        total = 0.0
+        while (arc := arcs[state].get(word)) is None:
+            total += weight[state]
+            state = failure[state]
+        return 10 ** (total + arc[0])
+
+    for length, table in enumerate(grams, start=1):
+        histories = grams[length - 2] if length > 1 else None
+        for gram, n in table.items():
+            history, word = gram >> _BITS, gram & ((1 << _BITS) - 1)
+            seen = histories[history] if histories else counts[history]
+            state = states[length, history]
+            share = (n - language_model.DISCOUNT) / seen
+            kept[state] += share
+            lower[state] += backed(failure[state], word)
+            arcs[state][word] = (math.log10(share), state_of(min(length + 1, longest), gram))
+        for (size, _), state in states.items():
+            if size == length:
+                weight[state] = math.log10(max(1 - kept[state], 1e-12) / max(1 - lower[state], 1e-12))
+    return Automaton(unigrams, arcs, failure, weight, state_of(min(1, longest), _START))
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     draw = random.Random(8)
@@ -45,7 +137,7 @@ def test_probabilities_of_every_state_sum_to_one():
     two = {0 << 20 | 2: 9, 2 << 20 | 3: 20, 2 << 20 | 2: 10, 3 << 20 | 1: 8, 3 << 20 | 4: 12}
     three = {2 << 40 | 2 << 20 | 3: 6, 2 << 40 | 3 << 20 | 4: 7}
     documents, distinct, tokens = 10, 4, 110
-    model = language_model.build_automaton(words, [two, three], tokens, distinct, documents)
+    model = build_automaton(words, [two, three], tokens, distinct, documents)
     unseen = 1 / (tokens + distinct + 1)
     for state in range(len(model.failure)):
         total = 0.0
@@ -67,7 +159,7 @@ def test_every_repeated_ngram_counts_at_any_size(spark, monkeypatch):
     kept = [i for i in tokens if zlib.crc32(str(i).encode()) % 7 != 2]
     assert 1001 in kept
     counts = Counter(w for i in kept for w in tokens[i])
-    number = {w: language_model._FIRST + k for k, w in enumerate(sorted(counts))}
+    number = {w: _FIRST + k for k, w in enumerate(sorted(counts))}
     coded = {i: [0, *(number.get(w, -1) for w in ws), 1] for i, ws in tokens.items()}
     grams = []
     for size in (2, 3):
@@ -76,7 +168,7 @@ def test_every_repeated_ngram_counts_at_any_size(spark, monkeypatch):
         assert 2 in packed.values()
         grams.append(packed)
     total = sum(counts.values()) + len(kept)
-    whole = language_model.build_automaton([counts[w] for w in sorted(counts)], grams, total, len(counts) + 1, len(kept))
+    whole = build_automaton([counts[w] for w in sorted(counts)], grams, total, len(counts) + 1, len(kept))
     monkeypatch.setattr(language_model, "SLICE_BYTES", 1 << 20, raising=False)
     monkeypatch.setattr(language_model, "BUCKET_TOKENS", 1 << 17, raising=False)
     unseen = -math.log10(total + len(counts) + 2)
@@ -87,8 +179,22 @@ def test_every_repeated_ngram_counts_at_any_size(spark, monkeypatch):
         assert r["score"] == pytest.approx(whole.score(ids) + unseen * ids.count(-1), rel=1e-9)
 
 
+def test_runs_carry_their_states(spark, monkeypatch):
+    """Scores do not depend on where texts are cut into runs."""
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(draw.choice([0, 1, 2, 3, 50, 700])))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for run in (1, 2, 3, 10_000):
+        monkeypatch.setattr(language_model, "RUN", run)
+        found.append(sorted(tuple(r) for r in language_model.score_documents(docs).collect()))
+    assert found[0] == found[1] == found[2] == found[3]
+    assert not [t for t in spark.catalog.listTables() if "slices" in t.name or "ngram" in t.name]
+
+
 def test_longer_histories_are_used():
-    model = language_model.build_automaton(
+    model = build_automaton(
         [50, 30], [{2 << 20 | 3: 20, 3 << 20 | 2: 20}, {2 << 40 | 3 << 20 | 2: 18}], 90, 3, 10
     )
     assert model.score([2, 3, 2]) > model.score([2, 3]) + math.log10((20 - 0.5) / 30)
