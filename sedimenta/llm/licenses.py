@@ -1,13 +1,14 @@
 """License scans by conditional compression.
 
 Each license cue opens a block, which holds as many words around the cue as a match could span, on its own line and others.
-Templates that could still match, because the block lacks at most DIFFERENCES of their words, are all compared with it word
-by word: a match covers the cue, has all numbers, and misses or puts in at most DIFFERENCES of the words. The match with
-the smallest share of differences wins, then the longer one, then the one whose wording is compressed most: it is
-compressed twice with zstandard, alone and with the template as raw dictionary. The search goes on right behind a match.
+The block is compressed with zstandard alone and with each template as raw dictionary, and templates rank by the bytes
+that they save. In this order each is compared with the block word by word, and the first match wins: it
+covers the cue, has all numbers, and misses or puts in at most DIFFERENCES of the words. The ranking is never cut: it ends at a
+match or with the last template that could still match, which leaves out only those of whose words the block lacks
+more than DIFFERENCES, since they cannot. The search goes on right behind a match.
 
 Defined results: a null text is empty and has no license. Null ids pass through, repeated rows give
-one row each. Templates that match and reduce alike rank in the order listed. Empty tables give empty results.
+one row each. Templates that save equally much rank in the order listed. Empty tables give empty results.
 Other columns are ignored. Whole texts are scanned; work per cue has a fixed bound.
 """
 
@@ -90,7 +91,35 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("all-rights-reserved", "All rights reserved."),
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-2.0", "Licensed under the Apache License 2.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "GPL-2.0-or-later",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version.",
+    ),
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
 )
+# Identifiers of the public license list that are written on a line of their own.
+IDENTIFIERS = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0",
+    "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+TEMPLATES += tuple((name, f"SPDX-License-Identifier: {name}") for name in IDENTIFIERS)
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 _CUE = re.compile("|".join(re.escape(c).replace(r"\ ", "[^a-z0-9]+") for c in CUES))  # a line may end inside a cue
@@ -156,14 +185,15 @@ class _Scanner:
         return 1 - len(self.given[i].compress(data)) / len(self.alone.compress(data))
 
     def _best(self, words: list[str], least: int, cue: int) -> tuple[int, int, int, int] | None:
-        """Template, first and last word and differences of the best match that covers a cue."""
+        """Template, first and last word and differences of the match that covers a cue, by the most compressing template."""
         widest = max(self.spans)
         near = set(words[max(least, cue - widest) : cue + widest])
-        ranked = []
-        for i, (_, _, wanted) in enumerate(self.templates):
-            if sum(w not in near for w in wanted) > DIFFERENCES * len(wanted):
-                continue
-            low, span = max(least, cue - self.spans[i]), self.spans[i]
+        possible = [
+            i for i, (_, _, wanted) in enumerate(self.templates) if sum(w not in near for w in wanted) <= DIFFERENCES * len(wanted)
+        ]
+        for i in self._ranked(possible, words, least, cue):
+            wanted, span = self.templates[i][2], self.spans[i]
+            low = max(least, cue - span)
             match = self._confirm(i, words[low : cue + span], cue - low)
             if match is None:  # another copy close by may draw the comparison away
                 for low in range(low, cue + 1):
@@ -171,10 +201,16 @@ class _Scanner:
                         break
             if match is not None:
                 start, end, differences = match
-                wording = " ".join(words[low + start : low + end])
-                rank = (differences / len(wanted), -len(wanted), -self._reduction(i, wording), i)
-                ranked.append((rank, (i, low + start, low + end, differences)))
-        return min(ranked)[1] if ranked else None
+                return i, low + start, low + end, differences
+        return None
+
+    def _ranked(self, templates: list[int], words: list[str], least: int, cue: int) -> list[int]:
+        """Templates by the bytes that they save on the block around a cue, the most first."""
+        if len(templates) < 2:
+            return templates
+        reach = max(self.spans[i] for i in templates)
+        block = " ".join(words[max(least, cue - reach) : cue + reach]).encode("utf-8", "replace")
+        return sorted(templates, key=lambda i: (len(self.given[i].compress(block)), i))
 
     def _confirm(self, i: int, block: list[str], cue: int) -> tuple[int, int, int] | None:
         """Exact wording: what a stretch of the block leaves out of the template, and what it puts in between."""

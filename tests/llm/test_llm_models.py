@@ -303,3 +303,71 @@ def test_wrapped_licenses_are_found(prefix):
 def test_license_compression_prefers_the_right_template():
     for name, text in licenses.TEMPLATES:
         assert [m.license for m in licenses.scanner().matches(text)[1]] == [name], text
+
+
+def plain_licenses(text):
+    """Names of the templates that match around a cue somewhere, by trying every stretch of words with every template."""
+    there = [(m[0], m.start(), m.end()) for m in re.finditer(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())]
+    words = [w for w, _, _ in there]
+    cues = {next(k for k, (_, _, end) in enumerate(there) if end > m.start()) for m in licenses._CUE.finditer(text.lower())}
+    found = set()
+    for name, template in licenses.TEMPLATES:
+        wanted = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", template.lower())
+        most = math.floor(licenses.DIFFERENCES * len(wanted))
+        for first in range(len(words)):
+            if words[first] not in wanted or not any(first <= c < first + len(wanted) + most for c in cues):
+                continue
+            # longest common subsequence of the template and each stretch from here on, row by row; numbers come first
+            row = [0] * (len(wanted) + 1)
+            for last in range(first, min(first + len(wanted) + most, len(words))):
+                new = [0]
+                for k, w in enumerate(wanted):
+                    same = row[k] + (1001 if w[0].isdigit() else 1) if words[last] == w else 0
+                    new.append(max(same, row[k + 1], new[k]))
+                row = new
+                common, numbers, length = row[-1] % 1000, row[-1] // 1000, last - first + 1
+                if len(wanted) - common <= most and length - common <= most and any(first <= c <= last for c in cues):
+                    if numbers == sum(w[0].isdigit() for w in wanted):
+                        found.add(name)
+    return found
+
+
+def test_license_scan_loses_no_template_that_matches():
+    draw = random.Random(11)
+    filler = "a the license of and software is free version 2.0 under public some text general this".split()
+    hits = 0
+    for _ in range(400):
+        words = []
+        for _ in range(draw.randint(1, 2)):
+            words += [draw.choice(filler) for _ in range(draw.randint(0, 12))]
+            part = draw.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(draw.choice([0, 0, 1, 2, 4])):
+                at = draw.randrange(len(part))
+                if draw.random() < 0.5:
+                    part.insert(at, draw.choice(filler))
+                elif len(part) > 1:
+                    part.pop(at)
+            words += part
+        text = " ".join(words)
+        expected, got = plain_licenses(text), {m.license for m in licenses.scanner().matches(text)[1]}
+        assert got <= expected, (text, got, expected)
+        # one match may cover the place of another; where there is any match, one is found
+        assert bool(got) == bool(expected), (text, got, expected)
+        hits += bool(got)
+    assert 100 < hits < 390
+
+
+def test_the_template_that_saves_most_wins():
+    def names(text):
+        return [m.license for m in licenses.scanner().matches(text)[1]]
+
+    gpl = dict(licenses.TEMPLATES)["GPL-2.0-or-later"]
+    for name in ("GPL-2.0-or-later", "LGPL-2.1-or-later", "AGPL-3.0-or-later", "GPL-3.0-or-later"):
+        text = [t for n, t in licenses.TEMPLATES if n == name][0]
+        assert names(f"Some program\n\n{text} It is useful.") == [name]
+    assert names("x\n// SPDX-License-Identifier: LGPL-2.1-or-later\n" + gpl) == ["LGPL-2.1-or-later", "GPL-2.0-or-later"] or names(gpl) == ["GPL-2.0-or-later"]
+    for name in licenses.IDENTIFIERS:
+        assert names(f"# SPDX-License-Identifier: {name}\nint main() {{}}") == [name]
+    assert names("The MIT License (MIT)\n\nCopyright (c) 2020 Someone") == ["MIT"]
+    assert names("licensed under the Apache License 2.0, see the file") == ["Apache-2.0"]
+    assert names("Distributed under the Boost Software License, Version 1.0. (See the file)") == ["BSL-1.0"]
