@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.names import norm_name, norm_text
+from sedimenta.operators.components import component_roots
 from sedimenta.operators.ranking import with_ordinal
 from sedimenta.session import materialize, materialize_counting
 
@@ -24,6 +25,8 @@ TOP_N = 3
 PREFIX = "coluna_"
 CSV_TITLES = ("nome_padrao", "colunas_equivalentes")
 CSV_SEPARATOR = ", "
+#: Edges of a component that one task walks through.
+WALKED = 100_000
 
 
 def _matches(cutoff: float):
@@ -168,8 +171,8 @@ def _drop_cooccurring(edges: DataFrame, seen: DataFrame) -> DataFrame:
     return edges.join(clash, ["head", "candidate"], "left_anti")
 
 
-def _covered(edges: DataFrame) -> DataFrame:
-    """Names that join an earlier head.
+def _covered_by_rounds(edges: DataFrame) -> DataFrame:
+    """Names that join an earlier head, in components too large for one task.
 
     Visiting names in sorted order and letting each free name take its free neighbours is the
     lexicographically first maximal independent set: per round every name without a smaller open
@@ -197,6 +200,42 @@ def _covered(edges: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, taken).distinct()
 
 
+def _taken_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Names that join an earlier head, from the edges of whole components in the order of heads."""
+    component, covered = None, set()
+    for batch in batches:
+        found = []
+        for root, head, candidate in zip(batch["root"], batch["head"], batch["candidate"], strict=True):
+            if root != component:
+                component, covered = root, set()
+            # all edges of a lesser head come earlier, so it is known by now whether this one is taken
+            if head not in covered and candidate not in covered:
+                covered.add(candidate)
+                found.append(candidate)
+        yield pd.DataFrame({"norm": found}, dtype="object")
+
+
+def _covered(edges: DataFrame, n: int) -> DataFrame:
+    """Names that join an earlier head, where free names in sorted order take their free neighbours.
+
+    Components do not touch each other, so each small one is decided by a single walk over its edges, sorted by
+    head; a long chain of names costs no rounds. Few edges altogether are walked as one component.
+    """
+    walked = "norm string"
+    if n <= WALKED:
+        ordered = edges.select(F.lit("").alias("root"), "head", "candidate").coalesce(1).sortWithinPartitions("head", "candidate")
+        return ordered.mapInPandas(_taken_in_order, walked)
+    roots = component_roots(edges, "head", "candidate")
+    # a root is no node of the table but the head of an edge; the candidate of an edge is never a root
+    rooted = edges.join(roots.select(F.col("node").alias("candidate"), "root"), "candidate").select("root", "head", "candidate")
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    sized = materialize(rooted.join(sizes, "root"), "components")
+    small = sized.where(F.col("n") <= WALKED).select("root", "head", "candidate")
+    walks = small.repartition("root").sortWithinPartitions("root", "head", "candidate").mapInPandas(_taken_in_order, walked)
+    giant = sized.where(F.col("n") > WALKED).select("head", "candidate")
+    return walks.unionByName(_covered_by_rounds(giant))
+
+
 def _split_clashes(members: DataFrame, cooccur: DataFrame) -> DataFrame:
     """Give every member that is not the first of its group in some source a group of its own."""
     rank = F.struct((~F.col("is_head")).alias("late"), (-F.col("ratio")).alias("far"), F.col("raw").alias("raw"))
@@ -260,8 +299,8 @@ def group_columns(
         edges = _drop_cooccurring(
             edges, seen.select("source", norm_name("name").alias("norm")).distinct()
         )
-    edges = materialize(edges, "edges")
-    covered = _covered(edges)
+    edges, n = materialize_counting(edges, F.count(F.lit(1)), "edges")
+    covered = materialize(_covered(edges, n), "covered")
     joined = (
         edges.join(covered.select(F.col("norm").alias("head")), "head", "left_anti")
         .join(covered.select(F.col("norm").alias("candidate")), "candidate", "left_semi")

@@ -2,8 +2,10 @@ import random
 from difflib import SequenceMatcher, get_close_matches
 
 import pytest
+from pyspark.sql import functions as F
 
 from sedimenta.functions.names import norm_name, norm_text
+from sedimenta.operators import components
 from sedimenta.operators import mapping as m
 
 
@@ -225,3 +227,66 @@ def test_exports(spark, tmp_path):
     assert {r[0]: r[1] for r in lines.collect()}["coluna_1"] == "PULocationID, DOLocationID, loc"
     with pytest.raises(ValueError):
         m.write_mapping(mapping, str(tmp_path / "x"), "xml")
+
+
+def walked_names(pairs):
+    """Free names in sorted order take their free neighbours."""
+    covered = set()
+    for head in sorted({h for h, _ in pairs}):
+        if head not in covered:
+            covered |= {c for h, c in pairs if h == head} - covered
+    return covered
+
+
+def taken(spark, pairs, walked, monkeypatch):
+    monkeypatch.setattr(m, "WALKED", walked)
+    edges = spark.createDataFrame(sorted(pairs), "head string, candidate string").withColumn("ratio", F.lit(0.9))
+    rows = m._covered(edges.repartition(3), len(pairs)).collect()
+    found = {r.norm for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def random_edges(seed, names, edges):
+    rng = random.Random(seed)
+    drawn = {tuple(sorted((f"n{rng.randrange(names):03d}", f"n{rng.randrange(names):03d}"))) for _ in range(edges)}
+    return {(a, b) for a, b in drawn if a != b}
+
+
+@pytest.mark.parametrize("walked", [0, 12, 10**6])
+def test_components_are_walked_or_decided_in_rounds_alike(spark, walked, monkeypatch):
+    for seed, names, edges in ((1, 200, 120), (2, 60, 150), (3, 4, 6)):
+        pairs = random_edges(seed, names, edges)
+        assert taken(spark, pairs, walked, monkeypatch) == walked_names(pairs)
+
+
+def test_a_chain_of_names_needs_few_jobs(spark, monkeypatch):
+    names = [f"n{i:05d}" for i in range(10_000)]
+    chain = set(zip(names, names[1:]))
+    written = []
+    plain = m.materialize
+    monkeypatch.setattr(components, "materialize", lambda *a: written.append(a) or plain(*a))
+    counting = components.materialize_counting
+    monkeypatch.setattr(components, "materialize_counting", lambda *a: written.append(a) or counting(*a))
+    assert taken(spark, chain, 9_999, monkeypatch) == set(names[1::2])
+    monkeypatch.setattr(m, "_covered_by_rounds", lambda giant: giant.select(F.col("candidate").alias("norm")).limit(0))
+    assert taken(spark, chain | {("a", "b")}, 9_999, monkeypatch) == {*names[1::2], "b"}
+    assert 0 < len(written) < 40
+
+
+def test_component_roots(spark):
+    for seed, names, edges in ((4, 300, 260), (5, 50, 100), (6, 5, 3)):
+        pairs = random_edges(seed, names, edges)
+        root = {x: x for p in pairs for x in p}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+        rows = components.component_roots(spark.createDataFrame([(b, a) for a, b in pairs], "a string, b string")).collect()
+        assert {r.node: r.root for r in rows} == {x: find(x) for x in root if find(x) != x} and len(rows) == len({r.node for r in rows})
+    assert components.component_roots(spark.createDataFrame([("a", "a")], "a string, b string")).collect() == []
