@@ -6,7 +6,7 @@
 3. The index: one posting (term, document, position) per occurrence of an anchor term, as a table.
 4. Lists are shifted by the anchors' offsets and intersected: a document is a candidate for a window at
    a start if all anchors of the window point to that start. Candidates are compared word by word.
-   For proximity matches the anchors may point to different starts, up to ``slop`` words apart.
+   For proximity matches the anchors may point to different starts, up to ``slop`` words apart, and so may the other words.
 
 All of it is DataFrame expressions. Shuffled rows are postings of rare terms, not texts; texts move
 once, for the comparison. Hot terms are pre-aggregated when counted, and skewed joins are left to
@@ -158,7 +158,12 @@ class PhraseIndex:
         return checked.filter(F.size("hits") > 0).dropDuplicates(["doc_id", "mark"])
 
     def near_matches(self, slop: int = SLOP) -> DataFrame:
-        """(doc_id, mark, window) whose anchors all point to starts within ``slop`` words of each other."""
+        """(doc_id, mark, window) of the windows all of whose words stand near each other.
+
+        From some start on, each word of the window has a place at most ``slop`` words behind its own one, so words may be
+        put in between, or change places a little. Documents whose anchors point to starts within ``slop`` words of
+        each other are candidates; their words are compared.
+        """
         start, width = F.col("start"), F.lit(_BUCKET)
         own = F.floor(start / width)
         # a group of starts at most slop apart lies in the bucket of its least start, or just behind it
@@ -170,15 +175,35 @@ class PhraseIndex:
             inside = F.filter(seen, lambda s: s["start"].between(first["start"], first["start"] + slop))
             return F.aggregate(inside, F.lit(0), lambda bits, s: bits.bitwiseOR(s["bit"])) == F.col("all_bits")
 
-        return (
+        wanted = (
             self._pointed()
             .withColumn("bucket", F.explode(buckets))
             .groupBy("doc_id", "mark", "window", "bucket", "all_bits")
             .agg(F.collect_set(F.struct("start", "bit")).alias("seen"))  # at most a few per word of a bucket
-            .filter(F.exists(seen, complete))
-            .select("doc_id", "mark", "window")
-            .distinct()
+            .withColumn("firsts", F.array_distinct(F.transform(F.filter(seen, complete), lambda s: s["start"])))
+            .where(F.size("firsts") > 0)
+            .join(self.windows, "window")
+            .groupBy("doc_id", "mark")
+            .agg(F.collect_list(F.struct("window", "firsts", F.split("phrase", " ").alias("terms"))).alias("near"))
         )
+        texts = self.texts
+        same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["mark"] == wanted["mark"])
+        found = texts.join(wanted, same).select(texts["doc_id"], texts["mark"], plain_words(F.col("text")).alias("words"), "near")
+
+        def stands(at: Column, term: Column) -> Column:
+            """Whether a term has a place from ``at`` to ``slop`` words behind."""
+            least = F.greatest(at, F.lit(0))
+            return F.array_contains(F.slice("words", least + 1, F.greatest(at + slop + 1 - least, F.lit(0))), term)
+
+        def matches(near: Column) -> Column:
+            # the anchors' least start may be up to slop words behind that of all words
+            starts = F.array_distinct(F.flatten(F.transform(near["firsts"], lambda s: F.sequence(s - slop, s))))
+            return F.exists(
+                starts, lambda s: ~F.exists(F.transform(near["terms"], lambda term, i: stands(s + i, term)), lambda there: ~there)
+            )
+
+        checked = found.select("doc_id", "mark", F.explode(F.filter("near", matches)).alias("near"))
+        return checked.select("doc_id", "mark", "near.window").distinct()
 
 
 def _covered(hits: Column) -> Column:

@@ -39,30 +39,45 @@ def test_hits_are_those_of_brute_force(spark):
         assert found[i]["contaminated"] == (n > 0 and 20 * n >= len(words))
 
 
+def near(words, window, slop):
+    """Whether from some start on each word stands at most ``slop`` words behind its own place."""
+    return any(
+        all(w in words[max(s + i, 0) : max(s + i + slop + 1, 0)] for i, w in enumerate(window)) for s in range(-slop, len(words))
+    )
+
+
+def found_near(index, slop):
+    phrases = {r["window"]: r["phrase"] for r in index.windows.collect()}
+    rows = index.near_matches(slop).collect()
+    found = {(r["doc_id"], phrases[r["window"]]) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
 def test_proximity_matches(spark):
     item = "the red lamp stood under a wooden table near seven quiet old dogs"
     docs = [
         item,
         item.replace("wooden", "very wooden"),  # one word put in
+        item.replace("red lamp", "lamp red"),  # two words change places
         "red lamp wooden table seven quiet dogs " + "filler " * 40 + "under near",
         item.replace("wooden", "very very very very very very very wooden"),
+        item.replace("wooden ", ""),  # a word is missing
     ]
     index = decontaminate.PhraseIndex(*frames(spark, docs, [item]))
-    used = {r["term"] for r in index.anchors.collect()}
-    assert len(used) == decontaminate.ANCHORS
-    near = {r["doc_id"] for r in index.near_matches().collect()}
-    exact = {r["doc_id"] for r in index.exact_matches().collect()}
-    assert exact == {0} and 0 in near
-    assert near == brute_near(docs, index)
+    assert {i for i, _ in found_near(index, 4)} == {0, 1, 2}
+    assert {r["doc_id"] for r in index.exact_matches().collect()} == {0}
+    assert {i for i, _ in found_near(index, 20)} == {0, 1, 2, 4}
 
 
-def brute_near(docs, index):
-    anchors = [(r["term"], r["offset"]) for r in index.anchors.collect()]
-    near = set()
-    for i, text in enumerate(docs):
-        words = text.split()
-        starts = [[p - offset for p, w in enumerate(words) if w == term] for term, offset in anchors]
-        for base in {s for own in starts for s in own}:
-            if all(any(base <= s <= base + decontaminate.SLOP for s in own) for own in starts):
-                near.add(i)
-    return near
+def test_proximity_matches_are_those_of_brute_force(spark):
+    draw = random.Random(7)
+    vocabulary = ["a", "b", "c", "d", "e", "f"]
+    docs = [" ".join(draw.choice(vocabulary) for _ in range(draw.randint(0, 60))) for _ in range(40)]
+    items = [" ".join(draw.choice(vocabulary) for _ in range(draw.randint(1, 8))) for _ in range(8)]
+    index = decontaminate.PhraseIndex(*frames(spark, docs, items), n=5)
+    phrases = {r["phrase"] for r in index.windows.collect()}
+    for slop in (0, 1, 3, 20):
+        expected = {(i, p) for i, text in enumerate(docs) for p in phrases if near(text.split(), p.split(), slop)}
+        assert found_near(index, slop) == expected
+        assert slop == 20 or 0 < len(expected) < len(docs) * len(phrases)
