@@ -12,7 +12,8 @@ a pattern or instance that a third of all documents share is one row per task.
 
 Defined results: a null text is empty. Null ids pass through; repeated rows count as often as they
 occur and give one row each; an instance that fits two kinds equally well takes the first kind
-listed. Empty tables give empty results. Other columns are ignored. Whole texts are scanned, in linear time.
+listed. Candidates never overlap a base span or each other: the one that begins first counts, the longest of those that begin
+together. Empty tables give empty results. Other columns are ignored. Whole texts are scanned, in linear time.
 """
 
 from __future__ import annotations
@@ -105,8 +106,18 @@ def scan(text: str | None) -> tuple[list[Span], list[Span]]:
     return base, _apart(others, base)
 
 
+def _in_turn(spans: list[Span]) -> list[Span]:
+    """Of spans that overlap the one that begins first, and the longest of those that begin together."""
+    out, end = [], 0
+    for span in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if span[1] >= end:
+            out.append(span)
+            end = span[2]
+    return out
+
+
 def _apart(spans: list[Span], taken: list[Span]) -> list[Span]:
-    """Those of ``spans`` that overlap none of ``taken``."""
+    """Those of ``spans`` that overlap none of ``taken``, nor each other."""
     order = sorted((s, e) for _, s, e in taken)
     out, at, reach = [], 0, 0
     for span in sorted(spans, key=lambda x: x[1]):
@@ -115,7 +126,7 @@ def _apart(spans: list[Span], taken: list[Span]) -> list[Span]:
             at += 1
         if reach <= span[1]:
             out.append(span)
-    return out
+    return _in_turn(out)
 
 
 def _could_be(form: str, value: str) -> list[str]:
