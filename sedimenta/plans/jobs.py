@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Sequence
+from contextlib import nullcontext
 from functools import wraps
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,7 +40,7 @@ from sedimenta.operators.quality import (
     write_report,
 )
 from sedimenta.plans.specs import BronzePolicy, MappingPolicy, MartSpec, RunConfig, RunReport, SilverSpec
-from sedimenta.session import materialize, scratch_path
+from sedimenta.session import materialize, scratch_path, scratch_scope
 from sedimenta.sources import manifest
 from sedimenta.sources.catalog import (
     SourceMissing,
@@ -74,14 +75,15 @@ from sedimenta.sources.published import (
 log = logging.getLogger("sedimenta")
 
 
-def _reported(job: str) -> Callable:
-    """Turn failures of a job into its report."""
+def _reported(job: str, scoped: bool = True) -> Callable:
+    """Turn failures of a job into its report; a ``scoped`` job leaves no intermediate tables."""
 
     def wrap(run: Callable[..., RunReport]) -> Callable[..., RunReport]:
         @wraps(run)
-        def reported(*args, **kwargs) -> RunReport:
+        def reported(spark: SparkSession, *args, **kwargs) -> RunReport:
             try:
-                return run(*args, **kwargs)
+                with scratch_scope(spark) if scoped else nullcontext():
+                    return run(spark, *args, **kwargs)
             except SourceMissing as error:
                 log.error("%s: input does not exist: %s", job, error)
                 return RunReport(job, "missing", error=error)
@@ -285,7 +287,7 @@ def run_marts(spark: SparkSession, table: str, path: str, spec: MartSpec, schema
     return RunReport("marts", "ok", frames=frames)
 
 
-@_reported("quality")
+@_reported("quality", scoped=False)
 def run_quality(
     spark: SparkSession,
     path: str,

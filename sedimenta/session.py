@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 from pathlib import Path
 
@@ -20,7 +23,9 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         home = Path(__file__).resolve().parent
-        archive = f"{tempfile.mkdtemp(prefix='package-')}/{home.name}"
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = f"{folder}/{home.name}"
         context.addPyFile(shutil.make_archive(archive, "zip", home.parent, home.name))
         _shipped.add(context.applicationId)
 
@@ -47,9 +52,36 @@ def _local_root(application: str) -> str:
     return folder
 
 
+#: Paths handed out since the innermost ``scratch_scope`` began.
+_handed_out: ContextVar[list[str] | None] = ContextVar("handed_out", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared root."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _handed_out.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables of a piece of work when it ends, well or not.
+
+    For work whose results do not read them any more.
+    """
+    token = _handed_out.set([])
+    try:
+        yield
+    finally:
+        made = _handed_out.get()
+        _handed_out.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - Spark deletes no files
+        conf = spark._jsparkSession.sessionState().newHadoopConf()  # noqa: SLF001
+        for path in made:
+            place = hadoop.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,3 +38,16 @@ def test_materialize_keeps_rows_and_types(spark):
     stored, count = session.materialize_counting(df, F.count_if(F.col("a") == 1))
     assert (stored.collect(), stored.dtypes, count) == (df.collect(), df.dtypes, 1)
     assert session.materialize(df.limit(0)).count() == 0
+
+
+def test_intermediate_tables_go_with_their_scope(spark):
+    kept = session.materialize(spark.range(3))
+    with pytest.raises(ValueError), session.scratch_scope(spark):
+        outer = session.materialize(spark.range(4))
+        with session.scratch_scope(spark):
+            inner = session.materialize(spark.range(5))
+            assert inner.count() == 5
+        assert not os.path.exists(inner.inputFiles()[0].removeprefix("file://")) and outer.count() == 4
+        raise ValueError
+    assert not os.path.exists(outer.inputFiles()[0].removeprefix("file://"))
+    assert kept.count() == 3
