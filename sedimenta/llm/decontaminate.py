@@ -134,7 +134,7 @@ class PhraseIndex:
         )
 
     def exact_matches(self) -> DataFrame:
-        """(doc_id, mark, hits): per document with a phrase, an array of window, start and length."""
+        """(doc_id, mark, hits, n_words): per document with a phrase, an array of window, start and length."""
         hit = F.struct("window", "start", "length", "phrase")
         wanted = (
             self.candidates()
@@ -154,6 +154,7 @@ class PhraseIndex:
                 "hits",
                 lambda h: F.array_join(F.slice("words", h["start"] + 1, h["length"]), " ") == h["phrase"],
             ).alias("hits"),
+            F.size("words").alias("n_words"),
         )
         return checked.filter(F.size("hits") > 0).dropDuplicates(["doc_id", "mark"])
 
@@ -254,19 +255,15 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
+    """The documents that are not contaminated, with all their columns.
+
+    Contaminated ones are counted; up to SMALL of them are broadcast, so that the texts are not shuffled.
+    """
     index = PhraseIndex(docs, items, key, text)
-    exact = materialize(index.exact_matches(), "matches")
-    hits = exact.select("doc_id", "mark", _covered(F.col("hits")).alias("n_hit"))
-    sizes = F.size(plain_words(docs[text]))
-    packed = docs.select(
-        F.struct("*").alias("_row"),
-        F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("_mark"),
-        sizes.alias("_n_words"),
-    )
-    guilty = (
-        packed["_row"][key].eqNullSafe(hits["doc_id"])
-        & (packed["_mark"] == hits["mark"])
-        & (hits["n_hit"] * SHARE >= packed["_n_words"])
+    judged = index.exact_matches().withColumn("n_hit", _covered(F.col("hits")))
+    found, n = materialize_counting(
+        judged.filter(F.col("n_hit") * SHARE >= F.col("n_words")).select("doc_id", "mark"), F.count(F.lit(1)), "contaminated"
     )
-    return packed.join(hits, guilty, "left_anti").select("_row.*")
+    packed = docs.select(F.struct("*").alias("_row"), F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("_mark"))
+    guilty = packed["_row"][key].eqNullSafe(found["doc_id"]) & (packed["_mark"] == found["mark"])
+    return packed.join(F.broadcast(found) if n <= SMALL else found, guilty, "left_anti").select("_row.*")
