@@ -153,3 +153,25 @@ def test_only_the_named_partition_is_listed(spark, tmp_path):
     assert lake.read_partition(spark, path, ["k", "m"], df.schema, k="none").count() == 0
     with pytest.raises(c.SourceMissing):
         lake.read_partition(spark, str(tmp_path / "nowhere"), ["k"], k="1")
+
+
+@pytest.mark.parametrize("name", ["q_file_catalog"])
+def test_tables_in_several_files(spark, tmp_path, name):
+    import duckdb
+
+    from checks import compare
+
+    source = "/root/testdata/sf0.001"
+    if not os.path.isdir(source):
+        pytest.skip("benchmark tables are not here")
+    db = duckdb.connect()
+    for table in compare.TABLES:
+        rows = pq.read_table(f"{source}/{table}.parquet")
+        if table in ("documents", "embeddings", "labels"):
+            (tmp_path / f"{table}.parquet").mkdir()
+            for i in range(3):
+                pq.write_table(rows.slice(i * rows.num_rows // 3, 5), tmp_path / f"{table}.parquet" / f"part-{i:04}.parquet")
+        else:
+            pq.write_table(rows, tmp_path / f"{table}.parquet")
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{source}/{table}.parquet'")
+    assert compare.differences(spark, db, str(tmp_path), name) == []
