@@ -155,7 +155,7 @@ def test_only_the_named_partition_is_listed(spark, tmp_path):
         lake.read_partition(spark, str(tmp_path / "nowhere"), ["k"], k="1")
 
 
-@pytest.mark.parametrize("name", ["q_file_catalog", "q_quarantine"])
+@pytest.mark.parametrize("name", ["q_file_catalog", "q_schema_catalog", "q_quarantine"])
 def test_tables_in_several_files(spark, tmp_path, name):
     import duckdb
 
