@@ -192,3 +192,15 @@ def test_violating_rows_and_report_come_from_one_scan(spark, tmp_path):
     assert q.violations(df, []).count() == 0 and q.audit(df, [], str(tmp_path / "none")).count() == 0
     plan = q.violations(df, suite)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_distinct_values_are_counted_a_column_at_a_time(spark):
+    from checks.queries import _held_against_rows
+
+    rows = spark.range(200).select("id", (F.col("id") % 3).alias("few"), F.when(F.col("id") > 9, F.col("id").cast("string")).alias("text"))
+    held = _held_against_rows(rows, q.profile(rows), 0.01)
+    assert {(r["column"], r.distinct_near, r.quantiles_near) for r in held.collect()} == {(c, True, True) for c in ("id", "few", "text")}
+    wrong = _held_against_rows(rows, q.profile(rows).withColumn("distinct", F.col("distinct") * 2), 0.01)
+    assert not any(r.distinct_near for r in wrong.collect())
+    # expanded rows would put the values of all columns into each task's memory
+    assert "Expand" not in held._jdf.queryExecution().executedPlan().toString()
