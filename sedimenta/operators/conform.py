@@ -17,6 +17,9 @@ from sedimenta.sources.catalog import SchemaGroup
 METADATA = ("source_file", "source_type", "ingestion_date", "date_ref")
 UNKNOWN_SOURCE = "desconhecido"
 
+#: Files whose tags and dates are broadcast; with more of them each row works out its own.
+FILES_LOOKED_UP = 200_000
+
 
 @dataclass(frozen=True)
 class ConformSpec:
@@ -99,12 +102,24 @@ def fill_missing(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in schema.items() if c not in have})
 
 
+def source_facts(files: DataFrame, spec: ConformSpec) -> DataFrame:
+    """``_path, _tag, _date``: what ``conform`` says of each file in ``files`` (column ``path``), one row per file."""
+    tag, date = tag_source("path", spec.rules, spec.unknown), date_ref("path")
+    return files.select("path").distinct().select(F.col("path").alias("_path"), tag.alias("_tag"), date.alias("_date"))
+
+
 def conform(
-    df: DataFrame, mapping: Mapping[str, Sequence[str]], spec: ConformSpec, path: Column | str = "_metadata.file_path"
+    df: DataFrame,
+    mapping: Mapping[str, Sequence[str]],
+    spec: ConformSpec,
+    path: Column | str = "_metadata.file_path",
+    facts: DataFrame | None = None,
 ) -> DataFrame | None:
     """One schema group in the common schema, or None when no column of it is mapped.
 
-    All steps work on single rows, so this also applies to a streaming DataFrame.
+    All steps work on single rows, so this also applies to a streaming DataFrame. ``facts`` are the ``source_facts`` of
+    the files, looked up in a broadcast instead of being worked out for each row; a path that they lack, such as
+    one whose address has codes for some characters, is worked out.
     """
     if not present_variants(df.columns, mapping):
         return None
@@ -114,10 +129,14 @@ def conform(
     source = F.col(path) if isinstance(path, str) else path
     carried = df.withColumn("_source", source)
     renamed = rename_first_present(carried, wanted, types, spec.merge_variants, keep=["_source"])
+    tag, date = tag_source("_source", spec.rules, spec.unknown), date_ref("_source")
+    if facts is not None:
+        renamed = renamed.join(F.broadcast(facts), F.col("_source") == F.col("_path"), "left")
+        tag, date = F.coalesce("_tag", tag), F.coalesce("_date", date)
     tagged = (
         with_provenance(renamed, "_source", spec.run_ts)
-        .withColumns({"source_type": tag_source("_source", spec.rules, spec.unknown), "date_ref": date_ref("_source")})
-        .drop("_source")
+        .withColumns({"source_type": tag, "date_ref": date})
+        .drop("_source", "_path", "_tag", "_date")
     )
     metadata = METADATA if spec.columns is None else [c for c in spec.columns if c in METADATA]
     order = [*standards, *metadata] if spec.columns is None else list(spec.columns)
@@ -136,8 +155,14 @@ def conform_union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def conform_groups(
-    groups: Sequence[SchemaGroup], mapping: Mapping[str, Sequence[str]], spec: ConformSpec
+    groups: Sequence[SchemaGroup], mapping: Mapping[str, Sequence[str]], spec: ConformSpec, files: DataFrame | None = None
 ) -> tuple[DataFrame, list[str]]:
-    """Union of all conformed schema groups, and the fingerprints of groups without a mapped column."""
-    done = [(g.fingerprint, conform(g.df, mapping, spec)) for g in groups]
+    """Union of all conformed schema groups, and the fingerprints of groups without a mapped column.
+
+    With ``files`` (column ``path``) tags and dates are worked out once per file, if there are no more than
+    ``FILES_LOOKED_UP``.
+    """
+    known = files is not None and files.count() <= FILES_LOOKED_UP
+    facts = source_facts(files, spec) if known else None
+    done = [(g.fingerprint, conform(g.df, mapping, spec, facts=facts)) for g in groups]
     return conform_union([df for _, df in done if df is not None]), [f for f, df in done if df is None]

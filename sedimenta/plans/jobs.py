@@ -181,7 +181,8 @@ def run_bronze(spark: SparkSession, src: str | Iterable[str], dst: str, policy:
     if policy.mapping_path:
         m.write_mapping(mapping, f"{policy.mapping_path.rstrip('/')}/json", "json")
         m.write_mapping(mapping, f"{policy.mapping_path.rstrip('/')}/csv", "csv")
-    df, skipped = conform_groups(scan_groups(spark, good), m.mapping_dict(mapping), policy.conform)
+    files = good.where("pos = 0").select("path")
+    df, skipped = conform_groups(scan_groups(spark, good), m.mapping_dict(mapping), policy.conform, files)
     # only a static overwrite without rows would lose what is there; the others replace nothing
     if policy.mode == "static" and is_empty(df):
         return RunReport("bronze", "no_data", skipped=skipped)

@@ -114,3 +114,24 @@ def test_row_wise_steps_apply_to_a_stream(spark, tmp_path):
     )
     query.awaitTermination()
     assert [r.source_type for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["green"]
+
+
+def test_tags_and_dates_once_per_file(spark, tmp_path):
+    # the address of a name with a space differs from its path, so its rows work out their own
+    names = ("yellow_2023-01.parquet", "green 2023_02.parquet", "other.parquet")
+    for i, name in enumerate(names):
+        spark.range(i, i + 1).select(F.col("id").alias("vendorid")).write.parquet(str(tmp_path / name))
+    df = spark.read.parquet(*[str(tmp_path / name) for name in names])
+    paths = [(f.removeprefix("file://").replace("%20", " "),) for f in df.inputFiles()]
+    files = spark.createDataFrame([(f"file:{p}",) for (p,) in paths] * 2, "path string")
+    spec = c.ConformSpec(rules=RULES, run_ts=datetime(2024, 1, 2))
+    group = SchemaGroup("f", ("vendorid",), df)
+    plain, _ = c.conform_groups([group], {"vendorid": ("vendorid",)}, spec)
+    found, _ = c.conform_groups([group], {"vendorid": ("vendorid",)}, spec, files)
+    assert found.columns == plain.columns and sorted(found.collect()) == sorted(plain.collect())
+    assert {r.vendorid: (r.source_type, r.date_ref) for r in found.collect()} == {
+        "0": ("yellow", datetime(2023, 1, 1)), "1": ("green", datetime(2023, 2, 1)), "2": ("desconhecido", datetime(1900, 1, 1)),
+    }
+    # the lookup is what gives the rows their tags
+    told = c.source_facts(files, spec).withColumn("_tag", F.lit("told"))
+    assert {r.source_type for r in c.conform(df, {"vendorid": ("vendorid",)}, spec, facts=told).collect()} == {"told", "green"}
