@@ -24,6 +24,7 @@ from sedimenta.sources.lake import (
     clean_path,
     escaped,
     literal_path,
+    open_partitions,
     path_exists,
     quoted,
     read_partition,
@@ -66,7 +67,8 @@ def stage(df: DataFrame, base: str, keys: Sequence[str] = (), metrics: Sequence[
     values = [F.collect_set(F.struct(*[F.col(k).cast("string").alias(k) for k in keys])).alias("_partitions")] if keys else []
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics, *values)
     writer = observed.write.mode("errorifexists")
-    (writer.partitionBy(*keys) if keys else writer).parquet(clean_path(base, RUNS, f"run={run}"))
+    with open_partitions(df.sparkSession):
+        (writer.partitionBy(*keys) if keys else writer).parquet(clean_path(base, RUNS, f"run={run}"))
     found = dict(seen.get)
     folders = sorted({_folder(keys, v) for v in found.pop("_partitions")}) if keys else [""]
     return Staged(base, run, tuple(folders), found)

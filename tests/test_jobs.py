@@ -168,6 +168,35 @@ def test_hot_partition_is_split_on_write(spark, tmp_path):
     assert lake.read_partition(spark, str(tmp_path / "t"), ["month"]).count() == 300_000
 
 
+def test_writes_keep_partitions_open(spark, tmp_path):
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+
+    def seen(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch.assign(open=TaskContext.get().getLocalProperty(setting) or "0")
+
+    # more partitions than stay open, in one task, with a null and an empty value
+    part = F.when(F.col("id") % 40 == 0, "").when(F.col("id") % 40 > 1, (F.col("id") % 40).cast("string"))
+    df = spark.range(2000).select("id", part.alias("part")).coalesce(1).mapInPandas(seen, "id long, part string, open string")
+    before = spark.conf.get(setting)
+    lake.write_partitioned(df, str(tmp_path / "t"), ["part"])
+    published.publish(spark, published.stage(df, str(tmp_path / "p"), ["part"]))
+    assert spark.conf.get(setting) == before
+    for back in (lake.read_partition(spark, str(tmp_path / "t"), ["part"]), published.read_published(spark, str(tmp_path / "p"), ["part"])):
+        rows = back.collect()
+        assert {r.open for r in rows} == {str(lake.OPEN_PARTITIONS)}
+        assert {r.id: r.part for r in rows} == {i: str(i % 40) if i % 40 > 1 else None for i in range(2000)} and len(rows) == 2000
+    spark.conf.set(setting, "50")
+    try:
+        with lake.open_partitions(spark):
+            assert spark.conf.get(setting) == "50"
+        assert spark.conf.get(setting) == "50"
+    finally:
+        spark.conf.set(setting, before)
+
+
 def published_config(folders, table, **silver):
     root = folders["root"]
     return RunConfig(
