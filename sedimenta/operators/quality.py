@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -151,17 +152,27 @@ def failed_checks(suite: Sequence[Expectation], schema: StructType) -> Column:
     What only the table as a whole can fail (a column that is not there, a share of rows) has no row, and is
     in the report; a check with ``mostly`` names each row that breaks it.
     """
-    tests = []
-    for e in suite:
-        if e.column in schema.names and e.kind != "exists":
-            bad = F.col(f"`{e.column}`").isNull() if e.kind == "not_null" else F.coalesce(_bad(e, schema), F.lit(False))
-            tests.append(F.when(bad, F.lit(label(e))))
-    return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+    # no label is empty; taking out an empty text is compiled, taking out nulls calls a function for each element
+    tests = [F.when(bad, F.lit(label(e))).otherwise(F.lit("")) for e, bad in _row_checks(suite, schema)]
+    return F.array_remove(F.array(*tests), "") if tests else F.array().cast("array<string>")
+
+
+def _row_checks(suite: Sequence[Expectation], schema: StructType) -> list[tuple[Expectation, Column]]:
+    """The checks that a row can fail, each with whether it does; never null."""
+    return [
+        (e, F.col(f"`{e.column}`").isNull() if e.kind == "not_null" else F.coalesce(_bad(e, schema), F.lit(False)))
+        for e in suite
+        if e.column in schema.names and e.kind != "exists"
+    ]
 
 
 def violations(df: DataFrame, suite: Sequence[Expectation], out: str = "failed") -> DataFrame:
-    """The rows that fail a check, with the array of all checks they fail; built-in expressions, no shuffle."""
-    return df.withColumn(out, failed_checks(suite, df.schema)).where(F.size(out) > 0)
+    """The rows that fail a check, with the array of all checks they fail; built-in expressions, no shuffle.
+
+    Rows are chosen by the checks themselves, so the array is made once, and for the rows that fail only.
+    """
+    fails = reduce(lambda a, b: a | b, [bad for _, bad in _row_checks(suite, df.schema)], F.lit(False))
+    return df.where(fails).withColumn(out, failed_checks(suite, df.schema))
 
 
 def audit(df: DataFrame, suite: Sequence[Expectation], path: str, out: str = "failed") -> DataFrame:

@@ -53,6 +53,7 @@ from sedimenta.sources.catalog import (
 from sedimenta.sources.lake import (
     bounded_sample,
     is_empty,
+    named_nulls,
     preview,
     read_parquet,
     register_table,
@@ -186,7 +187,7 @@ def run_bronze(spark: SparkSession, src: str | Iterable[str], dst: str, policy:
     # only a static overwrite without rows would lose what is there; the others replace nothing
     if policy.mode == "static" and is_empty(df):
         return RunReport("bronze", "no_data", skipped=skipped)
-    keyed = require(with_year_month(df, policy.ts_col), policy.keys)
+    keyed = named_nulls(require(with_year_month(df, policy.ts_col), policy.keys), policy.keys)
     size = _input_bytes(spark, src, policy) if policy.layout == "sized" else None
     arranged = repartition_for_write(keyed, policy.layout, policy.keys, size)
     seen, _ = _observed_write(arranged, dst, policy.keys, policy.mode)

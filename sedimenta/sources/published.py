@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sedimenta.sources.lake import (
+    NULL_VALUE,
     SourceMissing,
     clean_path,
     escaped,
     literal_path,
     open_partitions,
+    partition_folders,
     path_exists,
     quoted,
     read_partition,
@@ -34,8 +36,6 @@ from sedimenta.sources.lake import (
 RUNS = "_runs"
 LOG = "_published"
 LOG_SCHEMA = "folder string, run string, at string, source string"
-#: Folder name of a null partition value.
-NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: Partitions named in one statement.
 STATEMENT = 100
 _SYNCED = "published.at"
@@ -57,21 +57,20 @@ def _folder(keys: Sequence[str], values: Row) -> str:
 
 
 def stage(df: DataFrame, base: str, keys: Sequence[str] = (), metrics: Sequence[Column] = ()) -> Staged:
-    """Write the rows of one run aside; ``metrics`` and the partition values are observed in the same job.
+    """Write the rows of one run aside; ``metrics`` are observed in the same job.
 
-    The observation is directly below the write, so a task that runs again counts once. Without
+    The observation is directly below the write, so a task that runs again counts once. The partitions are those that the
+    finished job has left in the run's own folder; to collect their values from all rows would cost a set lookup a row. Without
     ``keys`` the table is one partition.
     """
     run = f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
+    path = clean_path(base, RUNS, f"run={run}")
     seen = Observation()
-    values = [F.collect_set(F.struct(*[F.col(k).cast("string").alias(k) for k in keys])).alias("_partitions")] if keys else []
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics, *values)
-    writer = observed.write.mode("errorifexists")
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.mode("errorifexists")
     with open_partitions(df.sparkSession):
-        (writer.partitionBy(*keys) if keys else writer).parquet(clean_path(base, RUNS, f"run={run}"))
-    found = dict(seen.get)
-    folders = sorted({_folder(keys, v) for v in found.pop("_partitions")}) if keys else [""]
-    return Staged(base, run, tuple(folders), found)
+        (writer.partitionBy(*keys) if keys else writer).parquet(path)
+    folders = partition_folders(df.sparkSession, path, keys) if keys else [""]
+    return Staged(base, run, tuple(folders), dict(seen.get))
 
 
 def publish(

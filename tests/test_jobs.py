@@ -197,6 +197,19 @@ def test_writes_keep_partitions_open(spark, tmp_path):
         spark.conf.set(setting, before)
 
 
+def test_rows_without_a_month_need_no_second_copy(spark, folders, monkeypatch):
+    day = trips("2023-02-12", 3)
+    pq.write_table(day.set_column(1, "tpep_pickup_datetime", pa.array([None, "", "2023-02-12 01:15:00"])), folders["root"] / "raw/green_tripdata_2023-03.parquet")
+    arranged = []
+    plain = jobs.repartition_for_write
+    monkeypatch.setattr(jobs, "repartition_for_write", lambda df, *a: arranged.append(df) or plain(df, *a))
+    assert jobs.run_bronze(spark, folders["raw"], folders["bronze"], presets.TRIP_BRONZE).rows == 17
+    kept = lake.read_partition(spark, folders["bronze"], presets.BRONZE_KEYS, source_type="green")
+    assert sorted((r.year or "-", r.month or "-", r["count"]) for r in kept.groupBy("year", "month").count().collect()) == [("-", "-", 2), ("2023", "02", 4)]
+    # the writer replaces null and empty text, row by row, in keys that may be null
+    assert not any(arranged[0].schema[k].nullable for k in presets.BRONZE_KEYS)
+
+
 def published_config(folders, table, **silver):
     root = folders["root"]
     return RunConfig(

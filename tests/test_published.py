@@ -72,6 +72,18 @@ def test_nothing_to_publish(spark, tmp_path):
     assert not p.is_published(spark, base)
 
 
+def test_partitions_come_from_the_folders_written(spark, tmp_path, monkeypatch):
+    observed = []
+    plain = type(months(spark)).observe
+    monkeypatch.setattr(type(months(spark)), "observe", lambda self, seen, *columns: observed.append(len(columns)) or plain(self, seen, *columns))
+    df = months(spark).withColumn("month", F.when(F.col("id") % 11 == 0, F.lit("")).otherwise(F.col("month")))
+    staged = p.stage(df, str(tmp_path / "t [1]"), KEYS)
+    # a set of partition values would be looked up for each row
+    assert observed == [1] and staged.metrics == {"rows": 60}
+    assert list(staged.folders) == sorted({p._folder(KEYS, r) for r in df.select(*KEYS).collect()})
+    assert lake.partition_folders(spark, str(tmp_path / "t [1]"), KEYS) == []
+
+
 def test_table_follows_publications_without_listing(spark, tmp_path, monkeypatch):
     base = str(tmp_path / "t")
     df = months(spark)

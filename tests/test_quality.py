@@ -194,6 +194,16 @@ def test_violating_rows_and_report_come_from_one_scan(spark, tmp_path):
     assert "Python" not in plan
 
 
+def test_violations_make_their_array_once(spark):
+    df = spark.range(20).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("n"))
+    bad = q.violations(df, [q.not_null("n"), q.between("n", 4, 15), q.not_null("n")])
+    found = {r.id: r.failed for r in bad.collect()}
+    assert found == {i: ["not_null(n)"] * 2 if i % 3 == 0 else ["between(n, 4, 15)"] for i in range(20) if i % 3 == 0 or not 4 <= i <= 15}
+    # no function is called for each element, and the rows are chosen without the array
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("array(") == 1
+
+
 def test_distinct_values_are_counted_a_column_at_a_time(spark):
     from checks.queries import _held_against_rows
 
